@@ -9,13 +9,15 @@ Plan
 3. A bucket (documents with one band key) gives pairs with a pivot only: m - 1 pairs for
    m members.  The odd sketches' XOR population count and the set sizes discard pairs,
    the rest is confirmed on the full sets.
-4. Connected components of the links.  A bucket loses its pivot, which has met every
-   other member; buckets whose remaining members are in one component are done, the
-   others go to the next round with another pivot.  After ``rounds`` pivots the members
-   still left are paired where their components differ and their set sizes allow a link
-   (cells of the size's logarithm, neighbouring cells joined), without pairs tried
-   before.  So no pair that shares a bucket is left out, and a large group of copies is
-   linked through its pivots alone.
+4. Connected components of the links.  Buckets whose other members are then in more than
+   one component hold pairs that may still be linked.  They are found from the
+   differences to the pivot P: of a linked pair X, Y at most
+   a(X, Y) = |X| - t / (1 + t) * (|X| + |Y|) members of X are outside Y (t: the similarity).
+   If X \ P has more members than that, some of them are in Y, hence in Y \ P, and the
+   first a + 1 members (by hash) of both differences share one: an equi-join on it.  Pairs
+   in which both differences are small meet by cells of their sizes.  Members of P's own
+   component are never paired among themselves.  So no pair that shares a bucket is left
+   out, and a large group of copies is linked through its pivot alone.
 
 An odd sketch has a bit for each hash value; the bit's parity tells how many MinHash
 samples (position, value) fell on it.  XOR of two sketches holds only the samples in
@@ -128,9 +130,28 @@ def signer(width: int, bands: int, rows: int, bits: int):
     return sign
 
 
-def setter(width: int):
+def marks(ids: DataFrame, least_bits: int = 1 << 20, most_bits: int = 1 << 29) -> bytes:
+    """A one-hash Bloom filter of a column ``node``: fixed memory of ``most_bits`` / 8 bytes at most.
+    If it fills up it only passes more rows; joins decide."""
+    n = ids.count()
+    bits = min(most_bits, max(least_bits, 1 << int(np.ceil(np.log2(16 * n + 1)))))
+    at = F.pmod(F.xxhash64("node"), F.lit(bits)) + 1
+    parts = ids.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("b")).collect()
+    out = bytearray(bits // 8)
+    for r in parts:
+        out[(r.k - 1) * 4096 : r.k * 4096] = r.b
+    return bytes(out)
+
+
+def setter(width: int, shipped):
+    """Shingle sets of the rows whose id passes the filter; column 2 is the id's xxhash64."""
+
     def sets_of(batches):
+        bitmap = np.frombuffer(shipped.value, np.uint8)
         for batch in batches:
+            at = np.mod(batch.column(2).to_numpy(zero_copy_only=False), len(bitmap) * 8)
+            rows = np.flatnonzero(bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            batch = batch.take(pa.array(rows))
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets):
                 sets = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
@@ -141,6 +162,31 @@ def setter(width: int):
     return sets_of
 
 
+def outside(percent: int, parts: int = 16):
+    """For (p, node, main, component, left, right): the node's set (right) against the pivot's (left)."""
+    t = percent / 100
+    step = np.log(1 / t) / parts
+
+    def run(batches):
+        for batch in batches:
+            left, right = batch.column("left"), batch.column("right")
+            tokens, cells = [], []
+            for i in range(len(left)):
+                x, y = (c[i].values.to_numpy(zero_copy_only=False).view(U64) for c in (right, left))
+                out = np.setdiff1d(x, y, assume_unique=True)
+                n = len(x)
+                tokens.append(out[: int((1 - t) * n + 1e-9) + 1].view(np.int64))
+                own = int(np.floor(np.log(n) / step))
+                near = np.arange(own - parts - 1, own + parts + 2)
+                # The partner's size is at least its cell's lower end.
+                room = n - t / (1 + t) * (n + np.exp(near * step)) + 1e-6
+                cells.append(near[len(out) <= room] * 100_000 + own)
+            same = [batch.column(c) for c in ("p", "node", "main", "component")]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(tokens, pa.list_(pa.int64())), pa.array(cells, pa.list_(pa.int64()))], ["p", "node", "main", "component", "tokens", "cells"])
+
+    return run
+
+
 def joint(batches):
     """Intersections of sorted arrays of distinct hashes."""
     for batch in batches:
@@ -183,7 +229,6 @@ def near_duplicates(
     rows: int = 5,
     bits: int = 1024,
     min_estimate: float = 0.6,
-    rounds: int = 3,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; see the module's text.
 
@@ -207,57 +252,61 @@ def near_duplicates(
         fits = 100 * F.least("u_n", "v_n") >= percent * F.greatest("u_n", "v_n")
         return both.where(fits & (apart <= float(most))).select("u", "v", "u_n", "v_n").distinct()
 
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """(node, hashes) of the wanted documents (and few others); texts are read again, not shuffled."""
+        shipped = docs.sparkSession.sparkContext.broadcast(marks(nodes))
+        own = texts.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id"))
+        return cut(own.mapInArrow(setter(width, shipped), "node long, hashes array<long>"), "sets")
+
+    def ends(pairs: DataFrame, *names: str) -> DataFrame:
+        out = pairs.select(F.col(names[0]).alias("node"))
+        for name in names[1:]:
+            out = out.union(pairs.select(F.col(name).alias("node")))
+        return cut(out.distinct(), "nodes")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links among ``pairs``, on full sets; only the texts of documents in pairs are read again."""
-        pairs = cut(pairs, "pairs")
-        wanted = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-        leads = texts.join(wanted, "doc_id", "left_semi")
-        sets = cut(leads.mapInArrow(setter(width), "node long, hashes array<long>"), "sets")
+        """Links among ``pairs``, on full sets."""
+        sets = sets_of(ends(pairs, "u", "v"))
         left, right = (sets.select(F.col("node").alias(x), F.col("hashes").alias(y)) for x, y in (("u", "left"), ("v", "right")))
         found = pairs.select("u", "v").join(right, "v").join(left, "u").mapInArrow(joint, "u long, v long, common long")
         sums = found.join(pairs, ["u", "v"])
         return cut(sums.where(100 * F.col("common") >= percent * (F.col("u_n") + F.col("v_n") - F.col("common"))).select("u", "v").distinct(), "links")
 
-    step = float(np.log(100 / percent))
-    nodes = lead.select("node", F.floor(F.log("n_shingles") / step).alias("cell")).dropDuplicates(["node"])
-
-    def next_round(member: DataFrame, grouped: DataFrame) -> DataFrame:
-        left = member.where("node <> pivot").select("key", "node").join(grouped, "node")
-        open_ = left.groupBy("key").agg(F.max(F.struct("component", "node")).alias("p"), F.min("component").alias("least")).where("p.component <> least")
-        open_ = open_.select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("pivot_component"))
-        return cut(left.join(open_, "key"), "buckets")
-
-    def rest_pairs(member: DataFrame) -> DataFrame:
-        """Pairs of different components and near sizes among what the pivots left."""
-        own = member.where("node <> pivot").join(nodes, "node").select("key", "node", "component", "cell")
-        other = own.select("key", F.col("node").alias("node_b"), F.col("component").alias("component_b"), F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"))
-        both = own.join(other, ["key", "cell"]).where("component <> component_b")
-        return both.select(F.least("node", "node_b").alias("u"), F.greatest("node", "node_b").alias("v"))
-
-    member = cut(lead.select(F.explode("bands").alias("key"), "node").distinct(), "buckets")
+    def open_pairs(member: DataFrame, grouped: DataFrame) -> DataFrame:
+        """Pairs of different components in one pivot's buckets that may be linked."""
+        left = member.where("node <> pivot").join(grouped, "node")
+        # The new pivot leads the bucket's most frequent component; it need not be in the bucket.
+        kinds = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+        best = F.max(F.struct("c", (-F.col("component")).alias("k")))
+        keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).where("n > 1").select("key", (-F.col("best.k")).alias("p"))
+        rows = cut(left.join(keys, "key").select("p", "node", "component", (F.col("component") == F.col("p")).alias("main")).distinct(), "open")
+        sets = sets_of(ends(rows, "p", "node"))
+        left, right = (sets.select(F.col("node").alias(x), F.col("hashes").alias(y)) for x, y in (("p", "left"), ("node", "right")))
+        rows = rows.join(right, "node").join(left, "p").mapInArrow(outside(percent), "p long, node long, main boolean, component long, tokens array<long>, cells array<long>")
+        rows = cut(rows.distinct(), "outside")
+        got = None
+        for name in ("tokens", "cells"):
+            each = rows.select("p", "node", "main", "component", F.explode(name).alias("k"))
+            # A cell key holds (partner, own); the partner's is turned round.
+            turned = F.col("k") if name == "tokens" else F.pmod(F.col("k"), F.lit(100_000)) * 100_000 + F.floor(F.col("k") / 100_000)
+            other = each.where("not main").select("p", turned.alias("k"), F.col("node").alias("node_b"), F.col("component").alias("component_b"))
+            for part in (each.where("main"), each.where("not main")):
+                pairs = part.join(other, ["p", "k"]).where("component <> component_b")
+                pairs = pairs.select(F.least("node", "node_b").alias("u"), F.greatest("node", "node_b").alias("v"))
+                got = pairs if got is None else got.union(pairs)
+        return cut(got.distinct(), "tried")
+
+    member = lead.select(F.explode("bands").alias("key"), "node").distinct()
     size = member.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     member = cut(member.join(size, "key"), "buckets")
-    links = None
-    tried = None
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            apart_ = F.lit(True) if turn == 0 else F.col("component") != F.col("pivot_component")
-            pairs = member.where((F.col("node") != F.col("pivot")) & apart_).select(F.least("pivot", "node").alias("u"), F.greatest("pivot", "node").alias("v"))
-        else:
-            pairs = rest_pairs(member)
-        pairs = pairs.distinct()
-        pairs = cut(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "tried")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = confirmed(likely(pairs))
-        links = found if links is None else links.union(found)
-        if turn == rounds:
-            break
-        grouped = components(lead.select("node").distinct(), links)
-        member = next_round(member, grouped)
-        if not member.limit(1).count():
-            break
-    groups = components(lead.select("node").distinct(), links)
-    ids = classes.join(groups, "node", "left").select("s1", "s2", "n_shingles", "component")
+    pairs = member.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+    links = confirmed(cut(likely(pairs), "pairs"))
+    nodes = lead.select("node").distinct()
+    grouped = cut(components(nodes, links), "groups")
+    more = confirmed(cut(likely(open_pairs(member, grouped)), "pairs"))
+    if more.limit(1).count():
+        grouped = cut(components(nodes, links.union(more)), "groups")
+    ids = classes.join(grouped, "node", "left").select("s1", "s2", "n_shingles", "component")
     out = signed.select("doc_id", "n_shingles", "s1", "s2").join(ids, ["s1", "s2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
