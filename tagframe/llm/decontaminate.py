@@ -173,11 +173,11 @@ def digest(found: DataFrame) -> DataFrame:
 #: The same result in SQL.  Words are numbered, windows are strings of consecutive words.
 ORACLE = r"""
 WITH b AS (
-  SELECT CAST(item_id AS VARCHAR) item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') w FROM benchmark),
+  SELECT CAST(item_id AS VARCHAR) item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w FROM benchmark),
 v AS (SELECT DISTINCT item, least(len(w), 10) n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') s
       FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) i FROM b WHERE len(w) > 0)),
 d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') w FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w FROM documents),
 p AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) i FROM d, (SELECT DISTINCT n FROM v) WHERE len(w) >= n),
 q AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') s FROM p),
 h AS (SELECT q.doc_id, q.n, q.i, v.item FROM q JOIN v ON q.n = v.n AND q.s = v.s),

@@ -103,7 +103,7 @@ def mix(
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) size,
+  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) size,
     -ln((('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496.0)
       / (0.25 + 0.75 * length(regexp_replace(coalesce(text, ''), '[\x00-\x60\x7B-\x7F]', '', 'g')) / greatest(length(coalesce(text, '')), 1)) k
   FROM documents),

@@ -1,4 +1,4 @@
-"""MinHash near-duplicates with odd sketches.
+r"""MinHash near-duplicates with odd sketches.
 
 Plan
 ----

@@ -1,17 +1,35 @@
-"""The registered queries opN_<name> of this subpackage, and their SQL where SQL can say it."""
+"""The registered queries opN_<name> of this subpackage, and their SQL where SQL can say it.
+
+Each takes (spark, sf_dir) and applies its operator to the whole intended table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontaminate, mixing, near_dup, toxicity
 from ._common import table
 
 
-def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .near_dup import near_duplicates
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_minhash_near_dedup": op10_minhash_near_dedup}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op4_source_mixing, op6_toxicity, op8_benchmark_decontamination, op10_minhash_near_dedup)}
+ORACLE_SQL = {
+    "op4_source_mixing": mixing.ORACLE,
+    "op8_benchmark_decontamination": decontaminate.ORACLE,
+}
