@@ -109,6 +109,40 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, width: i
     return items.mapInArrow(cut, "window string, item string").where("item is not null").groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
+def shipped_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, most_chars: int) -> list:
+    """Broadcasts of (window, items), each of about ``most_chars`` characters at most."""
+    found = benchmark_windows(benchmark, id_col, text_col, width)
+    length = F.length("window") + F.aggregate("items", F.lit(0), lambda a, x: a + F.length(x))
+    shards = max(1, -(-(found.agg(F.sum(length)).first()[0] or 0) // most_chars))
+    out = []
+    for k in range(shards):
+        own = found.where(F.pmod(F.xxhash64("window"), F.lit(shards)) == k)
+        out.append(benchmark.sparkSession.sparkContext.broadcast([(r.window, list(r["items"])) for r in own.collect()]))
+    return out
+
+
+def without_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, width: int = 10, most_chars: int = 20_000_000) -> DataFrame:
+    """The rows of ``docs``, unchanged, in which no window occurs; one pass per shard, no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def sieve(shipped):
+        def run(batches):
+            machine = automaton(shipped.value)
+            for batch in batches:
+                data, offsets = utf8(batch.column(at))
+                raw, keep = data.tobytes(), []
+                for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                    words = raw[a:b].translate(NORMAL).split() if shipped.value else []
+                    keep.append(not words or next(machine.iter(f" {b' '.join(words).decode()} "), None) is None)
+                yield batch.filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    for shipped in shipped_windows(benchmark, item_col, item_text_col, width, most_chars):
+        docs = docs.mapInArrow(sieve(shipped), docs.schema)
+    return docs
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -122,21 +156,16 @@ def decontaminate(
 ) -> DataFrame:
     """For every row: doc_id, n_words, n_hit, items (sorted ids), spans (array of
     word_from, word_to, byte_from, byte_to of the original text; ends exclusive; disjoint)."""
-    spark = docs.sparkSession
-    found = benchmark_windows(benchmark, item_col, item_text_col, width)
-    total = found.agg(F.coalesce(F.sum(F.length("window") + F.aggregate("items", F.lit(0).cast("int"), lambda a, x: a + F.length(x))), F.lit(0))).first()[0]
-    shards = max(1, -(-total // most_chars))
+    shards = shipped_windows(benchmark, item_col, item_text_col, width, most_chars)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    if shards > 1:
+    if len(shards) > 1:
         texts = texts.withColumn("row_doc", F.monotonically_increasing_id())
     parts = []
-    for k in range(shards):
-        own = found if shards == 1 else found.where(F.pmod(F.xxhash64("window"), F.lit(shards)) == k)
-        shipped = spark.sparkContext.broadcast([(r.window, list(r["items"])) for r in own.collect()])
-        key = "doc_id" if shards == 1 else "row_doc"
+    for shipped in shards:
+        key = "doc_id" if len(shards) == 1 else "row_doc"
         parts.append(texts.select(key, "text").mapInArrow(scanner(shipped), RAW))
     span = F.arrays_zip(F.col("hit_from").alias("word_from"), F.col("hit_to").alias("word_to"), "byte_from", "byte_to")
-    if shards == 1:
+    if len(shards) == 1:
         one = parts[0].withColumnRenamed("row_doc", "doc_id").withColumn("spans", span)
     else:
         # The same word may be hit in two shards: spans of a document are merged in order.

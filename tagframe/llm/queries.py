@@ -7,10 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dup, toxicity
+from . import decontaminate, mixing, near_dup, secrets, toxicity
 from ._common import table
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op6_toxicity, op8_benchmark_decontamination, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op4_source_mixing, op6_toxicity, op8_benchmark_decontamination, op10_minhash_near_dedup)}
 ORACLE_SQL = {
     "op4_source_mixing": mixing.ORACLE,
     "op8_benchmark_decontamination": decontaminate.ORACLE,

@@ -227,3 +227,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     """doc_id, held_out, score, predicted for every row; held-out rows teach nothing."""
     model = fit(docs, labels.where(~held_out(F.col("doc_id"))))
     return scored(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score is below ``threshold``; no shuffle."""
+    model = fit(docs, labels.where(~held_out(F.col(id_col))), id_col, text_col)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = utf8(batch.column(at))
+            s = [shipped.value.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
+            yield batch.filter(pa.array(np.concatenate(s) < threshold)) if s else batch
+
+    return docs.mapInArrow(run, docs.schema)
