@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dup, secrets, toxicity
+from . import decontaminate, lattice_lm, mixing, near_dup, secrets, toxicity
 from ._common import table
 
 
@@ -23,6 +23,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_lattice_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -32,7 +36,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op4_source_mixing, op6_toxicity, op8_benchmark_decontamination, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op4_source_mixing, op6_toxicity, op7_lattice_lm_scoring, op8_benchmark_decontamination, op10_minhash_near_dedup)}
 ORACLE_SQL = {
     "op4_source_mixing": mixing.ORACLE,
     "op8_benchmark_decontamination": decontaminate.ORACLE,
