@@ -5,12 +5,19 @@ a forward recursion in log space over UTF-8 bytes.  The first piece comes from t
 that open a word, the others from the pieces inside words and a stop; both distributions
 sum to 1, and single bytes are always possible, so that every word has a probability.
 Piece weights start from the vocabulary's own scores (a score of -r, the rank, weighs
-1 / (r + 2)) and are re-estimated by ``em_rounds`` rounds of expected counts over all distinct training words,
-with the starting weights as a prior.  The vocabulary itself is never changed.
+1 / (r + 2)) and are re-estimated by ``em_rounds`` rounds of expected counts over all
+distinct training words, with the starting weights as a prior.  The vocabulary itself is
+never changed.
 
 A whole word is one more arc of the lattice: with c training occurrences among N tokens it
-weighs (c - d) / N, and d / N of each known word (in all d V / N) goes to spelling.  The end
-of a text is a token of its own.  So the probabilities of all tokens sum to at most 1.
+weighs (c - d(c)) / N, d(1), d(2), d(3+) the modified Kneser-Ney discounts of the counts'
+counts; what is taken off all words goes to spelling.  The end of a text is a token of its
+own.  So the probabilities of all tokens sum to at most 1.
+
+All of this is done for each of at most ``most_classes`` classes of training texts (their
+most frequent languages; the others are one class), and a text's probability is the
+classes' mixture, with their shares of training texts as weights: the language of a text to
+be scored is no input.
 
 Scale: distinct words are counted with partial aggregation and scored once each.  The
 ``hot_words`` most frequent ones (a bound on the broadcast, by a histogram of counts)
@@ -18,8 +25,9 @@ are scored where the texts are; other words of each text are joined with the tab
 words, so that no frequent word makes a hot key.
 
 Null and empty texts are one token, the end.  Rows are scored one by one, so repeated rows
-get equal scores.  A null doc_id is a training row.  Without training rows N is 0: base is
-computed with N = V = 0 and spelling with the prior alone.
+get equal scores.  A null doc_id is a training row, a null language is in the class of
+others.  Without training rows N is 0: base is computed with N = V = 0, and one class
+spells with the prior alone.
 """
 
 from __future__ import annotations
@@ -91,81 +99,94 @@ def find(keys: np.ndarray, table) -> np.ndarray:
     return np.where(known[at] == keys, ids[at], -1)
 
 
-class Lattice:
-    def __init__(self, pieces: Pieces, weights: list[np.ndarray]):
-        self.pieces, self.by = pieces, pieces.tables()
-        self.log = [np.append(np.log(w), -np.inf) for w in weights]
-        self.stop = pieces.names[1].index(b"\n")
-        self.open = pieces.names[0].index(b"")
+class Words:
+    """Words laid end to end (none empty), with the pieces found at each byte."""
 
-    def run(self, data: np.ndarray, offsets: np.ndarray, counts: list[np.ndarray] | None = None) -> np.ndarray:
-        """ln of each word's probability; adds expected piece counts to ``counts``.  Words have a byte at least."""
+    def __init__(self, by, data: np.ndarray, offsets: np.ndarray):
         size = np.diff(offsets)
-        order = np.argsort(-size, kind="stable")
-        size, first = size[order], offsets[:-1][order]
-        longest = int(size[0]) if len(size) else 0
+        self.order = np.argsort(-size, kind="stable")
+        self.size = size = size[self.order]
+        self.first = first = offsets[:-1][self.order]
+        self.longest = int(size[0]) if len(size) else 0
         sums = np.zeros(len(data) + 1, U64)
         np.cumsum((data.astype(U64) + U64(1)) * powers(BASE, max(len(data) - 1, 0))[: len(data)], dtype=U64, out=sums[1:])
         back = powers(BASE_INVERSE, len(data))
         end = np.repeat(offsets[1:], np.diff(offsets))  # of each byte's word
-        ids: list[dict[int, np.ndarray]] = [{}, {}]
-        for m, table in self.by[1].items():
-            if m <= longest:
+        self.opening, self.inside = {}, {}
+        for m, table in by[1].items():
+            if m <= self.longest:
                 at = np.flatnonzero(np.arange(len(data)) + m <= end)
                 own = np.full(len(data), -1)
                 own[at] = find((sums[at + m] - sums[at]) * back[at], table)
-                ids[1][m] = own
-        for m, table in self.by[0].items():
-            n = int(np.searchsorted(-size, -m, side="right"))
+                self.inside[m] = own
+        for m, table in by[0].items():
+            n = self.active(m)
             if n:
-                ids[0][m] = find((sums[first[:n] + m] - sums[first[:n]]) * back[first[:n]], table)
-        logs = {m: self.log[1][i] for m, i in ids[1].items()}
-        node = np.append(0, np.cumsum(size + 1))[:-1]
+                self.opening[m] = find((sums[first[:n] + m] - sums[first[:n]]) * back[first[:n]], table)
+        self.node = np.append(0, np.cumsum(size + 1))[:-1]
+
+    def active(self, length: int) -> int:
+        """Words (in order) of that length at least."""
+        return int(np.searchsorted(-self.size, -length, side="right"))
+
+
+def log_sum(stack: np.ndarray) -> np.ndarray:
+    top = np.maximum(stack.max(axis=0), -1e300)
+    with np.errstate(divide="ignore"):
+        return top + np.log(np.exp(stack - top).sum(axis=0))
+
+
+class Lattice:
+    def __init__(self, pieces: Pieces):
+        self.names, self.by = pieces.names, pieces.tables()
+        self.stop = pieces.names[1].index(b"\n")
+        self.open = pieces.names[0].index(b"")
+
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> Words:
+        return Words(self.by, data, offsets)
+
+    def run(self, w: Words, weights: list[np.ndarray], counts: list[np.ndarray] | None = None) -> np.ndarray:
+        """ln of each word's probability; adds expected piece counts to ``counts``."""
+        log = [np.append(np.log(x), -np.inf) for x in weights]
+        node, first, size = w.node, w.first, w.size
+        logs = {m: log[1][i] for m, i in w.inside.items()}
         alpha = np.full(int((size + 1).sum()), -np.inf)
-        alpha[node] = self.log[0][self.open]
-        active = [int(np.searchsorted(-size, -j, side="right")) for j in range(longest + 2)]
-        for j in range(1, longest + 1):
-            n = active[j]
+        alpha[node] = log[0][self.open]
+        for j in range(1, w.longest + 1):
+            n = w.active(j)
             rows = [alpha[node[:n] + (j - m)] + logs[m][first[:n] + (j - m)] for m in logs if m <= j]
-            if j in ids[0]:
-                rows.append(self.log[0][ids[0][j]])
-            stack = np.stack(rows)
-            top = stack.max(axis=0)
-            alpha[node[:n] + j] = top + np.log(np.exp(stack - top).sum(axis=0))
-        total = alpha[node + size] + self.log[1][self.stop]
+            if j in w.opening:
+                rows.append(log[0][w.opening[j]])
+            alpha[node[:n] + j] = log_sum(np.stack(rows))
+        total = alpha[node + size] + log[1][self.stop]
         if counts is not None:
             beta = np.full(len(alpha), -np.inf)
-            beta[node + size] = self.log[1][self.stop]
-            for j in range(longest - 1, -1, -1):
-                n = active[j + 1]
+            beta[node + size] = log[1][self.stop]
+            for j in range(w.longest - 1, -1, -1):
+                n = w.active(j + 1)
                 rows = []
                 for m in logs:
-                    k = active[j + m] if j + m <= longest else 0
-                    if k:
+                    if k := w.active(j + m):
                         row = np.full(n, -np.inf)
                         row[:k] = beta[node[:k] + (j + m)] + logs[m][first[:k] + j]
                         rows.append(row)
-                stack = np.stack(rows)
-                top = np.maximum(stack.max(axis=0), -1e300)
-                with np.errstate(divide="ignore"):
-                    beta[node[:n] + j] = top + np.log(np.exp(stack - top).sum(axis=0))
+                beta[node[:n] + j] = log_sum(np.stack(rows))
             each = np.repeat(np.arange(len(size)), size)
             j = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
             byte, at = first[each] + j, node[each] + j
             for m in logs:
-                own = ids[1][m][byte]
+                own = w.inside[m][byte]
                 ok = np.flatnonzero(own >= 0)
                 p = np.exp(alpha[at[ok]] + logs[m][byte[ok]] + beta[at[ok] + m] - total[each[ok]])
                 counts[1] += np.bincount(own[ok], p, len(counts[1]))
-            for m, own in ids[0].items():
-                n = len(own)
+            for m, own in w.opening.items():
                 ok = np.flatnonzero(own >= 0)
-                p = np.exp(self.log[0][own[ok]] + beta[node[ok] + m] - total[ok])
+                p = np.exp(log[0][own[ok]] + beta[node[ok] + m] - total[ok])
                 counts[0] += np.bincount(own[ok], p, len(counts[0]))
-            counts[0][self.open] += np.exp(self.log[0][self.open] + beta[node] - total).sum()
+            counts[0][self.open] += np.exp(log[0][self.open] + beta[node] - total).sum()
             counts[1][self.stop] += len(size)
         out = np.empty(len(size))
-        out[order] = total
+        out[w.order] = total
         return out
 
 
@@ -183,32 +204,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def count_words(batches):
-    """(word, trained, seen) of a batch's slices."""
-    for batch in batches:
-        data, offsets = utf8(batch.column(0))
-        out = batch.column(1).to_numpy(zero_copy_only=False)
-        for a, b in slices(offsets, 1 << 22):
-            words, first = tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            coded = words.dictionary_encode()
-            index = coded.indices.to_numpy(zero_copy_only=False)
-            keep = np.repeat(~out[a:b], np.diff(first))
-            n = len(coded.dictionary)
-            seen, trained = np.bincount(index, minlength=n), np.bincount(index[keep], minlength=n)
-            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.binary()), pa.array(trained, pa.int64()), pa.array(seen, pa.int64())], ["word", "trained", "seen"])
+def word_counter(n_classes: int):
+    """Of texts with their class (-1: held out): word, seen, and trained by class."""
 
-
-def expected(shipped):
     def run(batches):
-        lattice = Lattice(*shipped.value)
-        counts = [np.zeros(len(n)) for n in lattice.pieces.names]
         for batch in batches:
-            data, offsets = utf8_binary(batch.column(0))
-            for a, b in slices(offsets, 1 << 18):
-                lattice.run(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], counts)
-        flat = np.concatenate(counts)
-        at = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(flat[at])], ["piece", "n"])
+            data, offsets = utf8(batch.column(0))
+            kind = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, b in slices(offsets, 1 << 22):
+                words, first = tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                coded = words.dictionary_encode()
+                index = coded.indices.to_numpy(zero_copy_only=False)
+                own = np.repeat(kind[a:b], np.diff(first))
+                n = len(coded.dictionary)
+                counts = [np.bincount(index, minlength=n), *(np.bincount(index[own == k], minlength=n) for k in range(n_classes))]
+                yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.binary()), *(pa.array(c, pa.int64()) for c in counts)], ["word", "seen", *(f"c{k}" for k in range(n_classes))])
 
     return run
 
@@ -221,31 +231,86 @@ def utf8_binary(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spelled(shipped, n_tokens: int, n_words: int, discount: float, n_types: int):
+SLICE = 1 << 18
+
+
+def expected(shipped):
+    """Of words with counts by class: (class, piece, n), the expected counts over distinct words."""
+
+    def run(batches):
+        pieces, weights = shipped.value
+        lattice = Lattice(pieces)
+        counts = [[np.zeros(len(n)) for n in pieces.names] for _ in weights]
+        for batch in batches:
+            for k, own in enumerate(weights):
+                at = np.flatnonzero(batch.column(1 + k).to_numpy(zero_copy_only=False))
+                if len(at):
+                    data, offsets = utf8_binary(batch.column(0).take(pa.array(at)))
+                    for a, b in slices(offsets, SLICE):
+                        lattice.run(lattice.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), own, counts[k])
+        for k, both in enumerate(counts):
+            flat = np.concatenate(both)
+            at = np.flatnonzero(flat)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at, pa.int64()), pa.array(flat[at])], ["k", "piece", "n"])
+
+    return run
+
+
+@dataclass
+class Class:
+    """Tokens, texts and, for counts 1, 2 and 3 or more, discounts of a class of training texts."""
+
+    n: int
+    texts: int
+    discounts: np.ndarray
+    spell: float
+
+    @staticmethod
+    def of(counts: list[int], total: int, types: int, texts: int) -> Class:
+        """counts: how many words occur once, twice, three and four times."""
+        n1, n2, n3, n4 = (max(c, 1) for c in counts)
+        d = n1 / (n1 + 2 * n2)
+        cuts = np.clip([1 - 2 * d * n2 / n1, 2 - 3 * d * n3 / n2, 3 - 4 * d * n4 / n3], [0.1, 0.2, 0.3], [0.9, 1.8, 2.7])
+        n = total + texts
+        off = cuts @ [counts[0], counts[1], types - counts[0] - counts[1]]
+        return Class(n, texts, cuts, off / n if n and off > 0 else 1.0)
+
+    def log_words(self, c: np.ndarray, ln: np.ndarray) -> np.ndarray:
+        known = np.maximum(c - np.append(0, self.discounts)[np.minimum(c, 3).astype(int)], 0) / max(self.n, 1)
+        with np.errstate(divide="ignore"):
+            return np.logaddexp(np.log(known), ln + math.log(self.spell)) / math.log(10)
+
+    def log_end(self) -> float:
+        return math.log10(self.texts / self.n) if self.texts else 0.0
+
+
+def spelled(shipped, n_tokens: int, n_types: int):
     def run(batches):
-        lattice = Lattice(*shipped.value)
+        pieces, weights, classes = shipped.value
+        lattice = Lattice(pieces)
         for batch in batches:
             data, offsets = utf8_binary(batch.column(0))
-            ln = [lattice.run(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, 1 << 18)]
-            ln = np.concatenate(ln) if ln else np.zeros(0)
-            c = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+            counts = [batch.column(2 + k).to_numpy(zero_copy_only=False) for k in range(len(classes))]
+            scores: list[list[np.ndarray]] = [[] for _ in classes]
+            for a, b in slices(offsets, SLICE):
+                words = lattice.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                for k, own in enumerate(classes):
+                    scores[k].append(own.log_words(counts[k][a:b], lattice.run(words, weights[k])))
+            c = sum(counts)
             base = np.log10((c + 1) / (n_tokens + n_types + 1))
-            known = np.maximum(c - discount, 0) / max(n_tokens, 1)
-            spell = np.log(discount * n_words / n_tokens) if n_words else 0.0
-            with np.errstate(divide="ignore"):
-                score = np.logaddexp(np.log(known), ln + spell) / math.log(10)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(base), pa.array(score)], ["word", "trained", "seen", "base", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(c), pa.array(base), *(pa.array(np.concatenate(x) if x else np.zeros(0)) for x in scores)], ["word", "seen", "trained", "base", *(f"s{k}" for k in range(len(classes)))])
 
     return run
 
 
-def split_texts(shipped, end: tuple[float, float, int]):
-    """Per text one row with what the frequent words give, and one for each other word."""
+def split_texts(shipped, ends: list[float], known_end: bool):
+    """Per text one row with what the frequent words give, and one for each other word.
+    ends: base and the classes' scores of the end."""
 
     def run(batches):
-        hot, c, base, score = shipped.value
+        hot, c, values = shipped.value
         hot = pa.array(hot, pa.large_binary())
-        c, base, score = (np.append(x, 0) for x in (c, base, score))
+        values = [np.append(x, 0) for x in ((c > 0).astype(float), *values)]
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             row_ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -256,44 +321,64 @@ def split_texts(shipped, end: tuple[float, float, int]):
                 at = pc.index_in(coded.dictionary, value_set=hot).fill_null(-1).to_numpy(zero_copy_only=False)
                 spot = at[index]
                 text = np.repeat(np.arange(b - a), np.diff(first))
-                sums = [np.bincount(text, x[spot], b - a) for x in ((c > 0).astype(float), base, score)]
-                n = np.diff(first) + 1
+                sums = [np.bincount(text, x[spot], b - a) for x in values]
                 rare = np.flatnonzero(spot < 0)
-                pairs, times = np.unique(text[rare] * len(coded.dictionary) + index[rare], return_counts=True) if len(rare) else (np.zeros(0, np.int64),) * 2
-                own = np.arange(a, b)
-                # A key with a space is no word: these rows meet nothing in the join.
-                keys = pa.array([b" %d" % r for r in row_ids[own].tolist()], pa.binary())
-                rows = pa.concat_arrays([keys, coded.dictionary.take(pa.array(pairs % max(len(coded.dictionary), 1))).cast(pa.binary())])
-                ids = np.concatenate([row_ids[own], row_ids[a + pairs // max(len(coded.dictionary), 1)]])
+                n_words = max(len(coded.dictionary), 1)
+                pairs, times = np.unique(text[rare] * n_words + index[rare], return_counts=True)
+                # A key with a space is no word: a text's own row meets nothing in the join.
+                keys = pa.array([b" %d" % r for r in row_ids[a:b].tolist()], pa.binary())
+                rows = pa.concat_arrays([keys, coded.dictionary.take(pa.array(pairs % n_words)).cast(pa.binary())])
+                ids = np.concatenate([row_ids[a:b], row_ids[a + pairs // n_words]])
                 z = np.zeros(len(pairs))
-                columns = [np.concatenate([np.zeros(b - a), times]), np.concatenate([n, z]), np.concatenate([sums[0] + (end[2] > 0), z])]
-                values = [np.concatenate([sums[1] + end[0], z]), np.concatenate([sums[2] + end[1], z])]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), rows, *(pa.array(x.astype(np.int64)) for x in columns), *(pa.array(x) for x in values)], ["row", "word", "times", "n_tokens", "n_known", "base_0", "score_0"])
+                longs = [np.concatenate([np.zeros(b - a), times]), np.concatenate([np.diff(first) + 1, z]), np.concatenate([sums[0] + known_end, z])]
+                doubles = [np.concatenate([x + e, z]) for x, e in zip(sums[1:], ends)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), rows, *(pa.array(x.astype(np.int64)) for x in longs), *(pa.array(x) for x in doubles)], ["row", "word", "times", "n_tokens", "n_known", "base_0", *(f"s{k}_0" for k in range(len(doubles) - 1))])
 
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str = TOKENIZER, em_rounds: int = 1, discount: float = 0.75, hot_words: int = 200_000, prior_weight: float = 200.0) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", *, tokenizer: str = TOKENIZER, em_rounds: int = 2, most_classes: int = 6, hot_words: int = 150_000, prior_weight: float = 200.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = rows.select("text", held_out(F.col("doc_id")).alias("out")).mapInArrow(count_words, "word binary, trained long, seen long")
-    words = cut(found.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen")), "words")
-    ends = rows.where(~held_out(F.col("doc_id"))).count()
-    s = words.agg(F.sum("trained").alias("n"), F.sum((F.col("trained") > 0).cast("long")).alias("v")).first()
-    n_tokens, n_types = (s.n or 0) + ends, (s.v or 0) + (ends > 0)
+    kind = F.col(class_col).cast("string") if class_col else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), kind.alias("kind"))
+    top = rows.where(~held_out(F.col("doc_id"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    top = top.where("kind is not null").orderBy(F.desc("n"), "kind").limit(most_classes - 1).collect()
+    number = F.lit(len(top))  # of the class of others
+    for k, r in enumerate(top):
+        number = F.when(F.col("kind") == r.kind, F.lit(k)).otherwise(number)
+    number = F.when(held_out(F.col("doc_id")), F.lit(-1)).otherwise(number).cast("int")
+    rows = rows.select("doc_id", "text", number.alias("class"))
+    texts = {r["class"]: r.n for r in rows.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_classes = len(top) + (texts.get(len(top), 0) > 0 or not top)
+
+    cs = [f"c{k}" for k in range(n_classes)]
+    found = rows.select("text", "class").mapInArrow(word_counter(n_classes), ", ".join(["word binary", "seen long", *(f"{c} long" for c in cs)]))
+    words = cut(found.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("seen", *cs))), "words")
+    sums = [F.sum(c).alias(f"{c}_n") for c in cs] + [F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_v") for c in cs]
+    sums += [F.sum((F.col(c) == i).cast("long")).alias(f"{c}_{i}") for c in cs for i in (1, 2, 3, 4)]
+    trained = sum((F.col(c) for c in cs[1:]), F.col(cs[0]))
+    s = words.agg(F.sum((trained > 0).cast("long")).alias("v"), *sums).first().asDict()
+    s = {k: v or 0 for k, v in s.items()}
+    classes = [Class.of([s[f"{c}_{i}"] for i in (1, 2, 3, 4)], s[f"{c}_n"], s[f"{c}_v"], texts.get(k, 0)) for k, c in enumerate(cs)]
+    ends = sum(c.texts for c in classes)
+    n_tokens, n_types = sum(c.n for c in classes), s["v"] + (ends > 0)
+
     pieces = Pieces.load(tokenizer)
-    weights = pieces.prior
+    weights = [pieces.prior for _ in classes]
     for _ in range(em_rounds):
         shipped = spark.sparkContext.broadcast((pieces, weights))
-        got = words.where("trained > 0").select("word").mapInArrow(expected(shipped), "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-        counts = np.concatenate([p * prior_weight for p in pieces.prior])
-        for r in sorted(got, key=lambda r: r.piece):
-            counts[r.piece] += r.n
-        parts = np.split(counts, [len(pieces.prior[0])])
-        weights = [p / p.sum() for p in parts]
-    shipped = spark.sparkContext.broadcast((pieces, weights))
-    scored = cut(words.mapInArrow(spelled(shipped, n_tokens, n_types - (ends > 0), discount, n_types), "word binary, trained long, seen long, base double, score double"), "scored")
+        got = words.where(trained > 0).select("word", *cs).mapInArrow(expected(shipped), "k int, piece long, n double").groupBy("k", "piece").agg(F.sum("n").alias("n")).collect()
+        counts = [np.concatenate([p * prior_weight for p in pieces.prior]) for _ in classes]
+        for r in got:
+            counts[r.k][r.piece] += r.n
+        weights = [[p / p.sum() for p in np.split(c, [len(pieces.prior[0])])] for c in counts]
+    shipped = spark.sparkContext.broadcast((pieces, weights, classes))
+    ss = [f"s{k}" for k in range(n_classes)]
+    scored = words.mapInArrow(spelled(shipped, n_tokens, n_types), ", ".join(["word binary", "seen long", "trained long", "base double", *(f"{x} double" for x in ss)]))
+    scored = cut(scored, "scored")
+
+    # The most frequent words, as many whole classes of counts as have room.
     bucket = F.floor(F.log2("seen") * 8)
     histogram = scored.where("length(word) <= 64").groupBy(bucket.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
     least, room = None, hot_words
@@ -302,18 +387,27 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, to
         if room < 0:
             break
         least = r.k
-    hot = scored.where((F.length("word") <= 64) & (bucket >= least)).select("word", "trained", "base", "score").orderBy("word").collect() if least is not None else []
-    shipped = spark.sparkContext.broadcast(([bytes(r.word) for r in hot], *(np.array([r[i] for r in hot], float) for i in (1, 2, 3))))
-    end = (math.log10((ends + 1) / (n_tokens + n_types + 1)), math.log10(ends / n_tokens) if ends else 0.0, ends)
+    hot = scored.where((F.length("word") <= 64) & (bucket >= least)).select("word", "trained", "base", *ss).toArrow() if least is not None else None
+    columns = [hot.column(i).combine_chunks().to_numpy(zero_copy_only=False) for i in range(1, 3 + n_classes)] if hot is not None else [np.zeros(0)] * (2 + n_classes)
+    shipped = spark.sparkContext.broadcast((hot.column(0).to_pylist() if hot is not None else [], columns[0], columns[1:]))
+    at_end = [math.log10((ends + 1) / (n_tokens + n_types + 1)), *(c.log_end() for c in classes)]
+
     numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    parts = numbered.select("row", "text").mapInArrow(split_texts(shipped, end), "row long, word binary, times long, n_tokens long, n_known long, base_0 double, score_0 double")
-    joined = parts.join(scored.select("word", "trained", "base", "score"), "word", "left")
+    schema = ["row long", "word binary", "times long", "n_tokens long", "n_known long", "base_0 double", *(f"{x}_0 double" for x in ss)]
+    parts = numbered.select("row", "text").mapInArrow(split_texts(shipped, at_end, ends > 0), ", ".join(schema))
+    joined = parts.join(scored.select("word", "trained", "base", *ss), "word", "left")
     times = F.col("times")
+    plus = lambda c: F.sum(F.col(f"{c}_0") + times * F.coalesce(c, F.lit(0.0)))
     sums = joined.groupBy("row").agg(
-        F.sum(F.col("n_tokens")).alias("n_tokens"),
+        F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(F.col("trained") > 0, times).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base_0") + times * F.coalesce("base", F.lit(0.0))).alias("base_score"),
-        F.sum(F.col("score_0") + times * F.coalesce("score", F.lit(0.0))).alias("score"),
+        plus("base").alias("base_score"),
+        *(plus(x).alias(x) for x in ss),
     )
+    # log10 of the mixture, from the largest part.
+    parts = [F.col(x) + math.log10(max(c.texts, 0.5) / max(ends, 1)) for x, c in zip(ss, classes)]
+    top_part = F.greatest(*parts) if n_classes > 1 else parts[0]
+    total = top_part + F.log10(sum((F.pow(F.lit(10.0), p - top_part) for p in parts[1:]), F.pow(F.lit(10.0), parts[0] - top_part)))
     ids = numbered.select("row", "doc_id")
-    return sums.join(ids, "row").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    out = sums.join(ids, "row")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", total.alias("score"))
