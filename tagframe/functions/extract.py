@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .numparse import valid_price
 from .text import collapse, digit_noise
 
@@ -81,8 +82,15 @@ def price_format(main: Column, cents: Column) -> Column:
 
 def _priced(main: Column, items: Column) -> Column:
     """struct(value, confidence) of a main number and the cents to its right."""
+    return let(main, lambda m: _with_cents(m, items))
+
+
+def _with_cents(main: Column, items: Column) -> Column:
     right = F.filter(items, lambda n: (n["i"] != main["i"]) & (F.length(n["digits"]) == 2) & (n["cx"] > main["cx"]) & (F.abs(n["cy"] - main["cy"]) <= 0.22) & (n["height"] <= main["height"] * 1.05))
-    cents = _best(right, lambda n: n["confidence"] + n["height"])
+    return let(_best(right, lambda n: n["confidence"] + n["height"]), lambda cents: _cents(main, cents))
+
+
+def _cents(main: Column, cents: Column) -> Column:
     value = F.when(cents.isNotNull(), price_format(main["digits"], cents["digits"])).otherwise(price_digits(main["digits"]))
     sure = F.when(cents.isNotNull(), (main["confidence"] + cents["confidence"]) / 2).otherwise(main["confidence"])
     return F.struct(F.coalesce(value, F.lit("")).alias("value"), sure.alias("confidence"))
@@ -90,9 +98,9 @@ def _priced(main: Column, items: Column) -> Column:
 
 def large_price(items: Column) -> Column:
     three = F.filter(items, lambda n: F.length(n["digits"]) >= 3)
-    low = F.filter(three, lambda n: n["cy"] > 0.25)
+    best = let(three, lambda t: _or(F.filter(t, lambda n: n["cy"] > 0.25), t))
     score = lambda n: n["height"] * 2 + n["area"] * 3 + n["confidence"] + F.least(F.length(n["digits"]), F.lit(4)) * 0.05 + n["cy"] * 0.15
-    return _priced(_best(_or(low, three), score), items)
+    return _priced(_best(best, score), items)
 
 
 def weight_like(raw: Column) -> Column:
@@ -114,20 +122,24 @@ def default_price(items: Column) -> Column:
 
 def text_price(text: Column) -> Column:
     """struct(value, confidence) of ``199 99``-like text, else of three digits or more."""
-    t = digit_noise(text)
+    return let(digit_noise(text), _text_price)
+
+
+def _text_price(t: Column) -> Column:
     whole, cents = (F.regexp_extract(t, r"(\d{1,4})[\s,.]+(\d{2})(?!\d)", i) for i in (1, 2))
     digits = F.regexp_replace(t, r"\D", "")
-    short = price_digits(F.left(digits, F.lit(5)))
+    short = let(F.left(digits, F.lit(5)), price_digits)
     pair = F.concat(whole.cast("int").cast("string"), F.lit("."), cents)
     value = F.when(whole != "", pair).when(F.length(digits) >= 3, short).otherwise("")
     return F.struct(value.alias("value"), F.when(whole != "", 0.55).otherwise(0.45).alias("confidence"))
 
 
 def price(tokens: Column, text: Column, large: bool) -> Column:
-    items = numbers(tokens)
-    seen = large_price(items) if large else default_price(items)
-    chosen = F.when((F.size(items) > 0) & (seen["value"] != ""), seen).otherwise(text_price(text))
-    return _out(chosen["value"], valid_price(chosen["value"]), chosen["confidence"])
+    of = large_price if large else default_price
+    none = F.struct(F.lit("").alias("value"), F.lit(0.0).alias("confidence"))
+    seen = let(numbers(tokens), lambda items: F.when(F.size(items) > 0, of(items)).otherwise(none))
+    chosen = let(seen, lambda x: F.when(x["value"] != "", x).otherwise(text_price(text)))
+    return let(chosen, lambda x: _out(x["value"], valid_price(x["value"]), x["confidence"]))
 
 
 def discount_parts(text: Column) -> Column:
@@ -145,7 +157,10 @@ def implausible_discount(p: Column) -> Column:
 
 
 def discount(text: Column) -> Column:
-    d = discount_parts(text)
+    return let(discount_parts(text), _discount)
+
+
+def _discount(d: Column) -> Column:
     value = F.when(d["percent"].isNull(), "").otherwise(F.concat(F.lit("-"), d["percent"].cast("string"), F.lit("%")))
     return _out(value, F.lit(True), F.greatest(F.lit(0.25), 0.9 - d["penalty"] - implausible_discount(d["percent"]) * 0.2))
 

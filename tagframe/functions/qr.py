@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .pricing import barcode
 
 # Keys of payloads and the columns they fill.
@@ -37,7 +38,10 @@ def pairs(payload: Column, aliases: dict[str, str] = ALIASES) -> Column:
 
 def parsed(payload: Column, aliases: dict[str, str] = ALIASES) -> Column:
     """map<column, value>: the first entry of each column, raw."""
-    entries = pairs(payload, aliases)
+    return let(pairs(payload, aliases), _first_of_each)
+
+
+def _first_of_each(entries: Column) -> Column:
     names = F.array_distinct(F.transform(entries, lambda e: e["k"]))
     return F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("k"), F.element_at(F.filter(entries, lambda e: e["k"] == n), 1)["v"].alias("v"))))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import extract, pricing
+from ..functions.binding import let
 from ..functions.numparse import candidate_price, valid_price
 from .ordering import elect, top_k
 
@@ -53,11 +54,13 @@ def consensus_price(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def consensus_discount(rows: DataFrame, by: list[str]) -> DataFrame:
-    a, b = extract.discount_parts(F.col("source_text")), extract.discount_parts(F.col("value"))
-    rows = rows.withColumn("d", F.when(a["percent"].isNotNull(), a).otherwise(b)).where("d.percent is not null")
-    near = extract.time_bonus(F.col("timestamp_ms").cast("string"), F.col("selected_ms").cast("string"))
+    parts = let(extract.discount_parts(F.col("source_text")), lambda a: F.when(a["percent"].isNotNull(), a).otherwise(extract.discount_parts(F.col("value"))))
+    rows = rows.withColumn("d", parts).where("d.percent is not null")
+    near = let(extract.time_bonus(F.col("timestamp_ms").cast("string"), F.col("selected_ms").cast("string")), lambda x: x)
+    rows = rows.withColumn("near", near)
+    near = F.col("near")
     score = F.col("score") + near["bonus"] - F.col("d.penalty") - extract.implausible_discount(F.col("d.percent")) + F.when(F.col("image_kind") == "tight_enhanced", 0.05).otherwise(0.0)
-    atoms = rows.withColumn("atom_score", score).withColumn("close", near["diff"] <= 500).withColumn("marker", F.lit(False)).withColumn("atom", F.lit(0)).withColumn("value", -F.col("d.percent")).drop("d")
+    atoms = rows.withColumn("atom_score", score).withColumn("close", near["diff"] <= 500).withColumn("marker", F.lit(False)).withColumn("atom", F.lit(0)).withColumn("value", -F.col("d.percent")).drop("d", "near")
     return _support(atoms, by, F.col("top") + F.least("n", F.lit(6)) * 0.09 + F.least("close", F.lit(4)) * 0.10)
 
 

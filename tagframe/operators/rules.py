@@ -32,15 +32,15 @@ def applied(df: DataFrame, rules: list[Rule]) -> DataFrame:
     for r in rules:
         if r.field not in df.columns:
             continue
-        old = F.coalesce(F.col(r.field).cast("string"), F.lit(""))
-        new = F.lit("") if r.clears else r.value
+        out = out.withColumn("_old", F.coalesce(F.col(r.field).cast("string"), F.lit(""))).withColumn("_new", F.lit("") if r.clears else r.value)
+        old, new = F.col("_old"), F.col("_new")
         go = F.coalesce(r.guard, F.lit(True)) if r.guard is not None else F.lit(True)
         go = go & ~missing.core(old) if r.clears else go & ~missing.core(new) & (old != new)
         if not r.overwrite:
             go = go & missing.core(old)
         go = F.coalesce(go, F.lit(False))
         note = F.array(F.struct(F.lit(r.field).alias("field"), old.alias("old"), new.alias("new"), F.lit(r.source).alias("source")))
-        out = out.withColumn("_go", go).withColumn("audit", F.when(F.col("_go"), F.concat("audit", note)).otherwise(F.col("audit"))).withColumn(r.field, F.when(F.col("_go"), new).otherwise(F.col(r.field))).drop("_go")
+        out = out.withColumn("_go", go).withColumn("audit", F.when(F.col("_go"), F.concat("audit", note)).otherwise(F.col("audit"))).withColumn(r.field, F.when(F.col("_go"), new).otherwise(F.col(r.field))).drop("_go", "_old", "_new")
     return out
 
 

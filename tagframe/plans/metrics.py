@@ -10,7 +10,8 @@ from ..operators import lookups, metrics, ordering
 from ..sources.tables import table
 from ._registry import query
 
-CARD = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+def card():
+    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
 
 
 @query("""SELECT count(*) AS rows_count, round(100.0 * sum(CASE WHEN l_extendedprice IS NOT NULL THEN 1 ELSE 0 END) / count(*), 2) AS default_rate,
@@ -20,7 +21,7 @@ def quality_metrics(spark, sf_dir):
     n = lambda c: F.coalesce(F.sum(c.cast("int")), F.lit(0))
     return table(spark, sf_dir, "lineitem").agg(
         F.count(F.lit(1)).alias("rows_count"), metrics.share(F.col("l_extendedprice").isNotNull()).alias("default_rate"), n(F.col("l_discount") > 0).alias("discounted"),
-        F.round(F.avg("l_extendedprice"), 4).alias("avg_default"), F.round(F.avg(CARD), 4).alias("avg_card"), n(CARD > F.col("l_extendedprice")).alias("card_over_default"),
+        F.round(F.avg("l_extendedprice"), 4).alias("avg_default"), F.round(F.avg(card()), 4).alias("avg_card"), n(card() > F.col("l_extendedprice")).alias("card_over_default"),
     )
 
 
@@ -41,7 +42,7 @@ def top_videos(spark, sf_dir):
   sum(CASE WHEN l_discount * 1000 >= 80 OR l_extendedprice > 50000 OR l_extendedprice * (1 - l_discount) > 50000 THEN 1 ELSE 0 END) AS suspicious FROM lineitem""")
 def row_quality_flags(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
-    flags = metrics.suspicious(F.col("l_extendedprice") / 5, CARD / 5, F.col("l_discount") * 1000)
+    flags = metrics.suspicious(F.col("l_extendedprice") / 5, card() / 5, F.col("l_discount") * 1000)
     any_ = flags["big_discount"] | flags["huge_price"] | flags["card_over_default"]
     n = lambda c: F.sum(c.cast("int"))
     return df.agg(n(flags["big_discount"]).alias("big_discount"), n(flags["huge_price"]).alias("huge_price"), n(flags["card_over_default"]).alias("card_over_default"), n(any_).alias("suspicious"))

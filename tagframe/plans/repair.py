@@ -10,7 +10,8 @@ from ..sources.tables import table
 from ._registry import query
 from .fields import KEY, KEYS
 
-CARD = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+def card():
+    return F.col("l_extendedprice") * (1 - F.col("l_discount"))
 @query(f"SELECT {KEYS}, round(floor(l_extendedprice) + 0.99, 2) AS shelf, round(greatest(0, round_even(l_extendedprice * 0.95, 0) - 0.01), 2) AS second FROM lineitem")
 def shelf_price(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(*KEY, F.round(pricing.shelf(F.col("l_extendedprice")), 2).alias("shelf"), F.round(pricing.second_qr(F.col("l_extendedprice"), F.lit(False)), 2).alias("second"))
@@ -26,7 +27,7 @@ def closest_cents(spark, sf_dir):
 @query(f"""WITH x AS (SELECT *, l_extendedprice * (1 - l_discount) / 10 c, l_discount * 100 * 5 p FROM lineitem), y AS (SELECT *, c / (1 - (p + 0.5) / 100) v FROM x)
 SELECT {KEYS}, p BETWEEN 5 AND 70 AND v > c * 1.02 AND v <= 20000 AS inferred, CASE WHEN p BETWEEN 5 AND 70 AND v > c * 1.02 AND v <= 20000 THEN floor(v) END AS about FROM y""")
 def infer_default(spark, sf_dir):
-    c, p = CARD / 10, F.col("l_discount") * 100 * 5
+    c, p = card() / 10, F.col("l_discount") * 100 * 5
     v = c / (1 - (p + 0.5) / 100)
     got = pricing.inferred_default(c, p)
     return table(spark, sf_dir, "lineitem").select(*KEY, got.isNotNull().alias("inferred"), F.when(got.isNotNull() & (F.abs(got - v) <= 0.11), F.floor(v).cast("double")).alias("about"))

@@ -8,27 +8,28 @@ from ..sources.tables import stream, table
 from ..streaming import sinks, stateful, windows
 from ._registry import query
 
-START = F.unix_micros("window.start").alias("start_us")
+def start():
+    return F.unix_micros("window.start").alias("start_us")
 
 
 @query("SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def stream_tumbling(spark, sf_dir):
     out = sinks.drained(windows.tumbling(stream(spark, sf_dir, "events"), "1 day", ["event_type"]), "complete")
-    return out.select(START, "event_type", "n", F.round("total", 4).alias("total"))
+    return out.select(start(), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("""WITH e AS (SELECT event_type, value, unnest([0, 1]) o, time_bucket(INTERVAL 12 HOUR, ts) b FROM events)
 SELECT epoch_us(b - o * INTERVAL 12 HOUR) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM e GROUP BY 1, 2""")
 def stream_sliding(spark, sf_dir):
     out = sinks.drained(windows.sliding(stream(spark, sf_dir, "events"), "1 day", "12 hours", ["event_type"]), "complete")
-    return out.select(START, "event_type", "n", F.round("total", 4).alias("total"))
+    return out.select(start(), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END s FROM events), i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) k FROM g)
 SELECT epoch_us(min(ts)) AS start_us, user_id, count(*) AS n FROM i GROUP BY user_id, k""")
 def stream_session(spark, sf_dir):
     out = sinks.drained(windows.session(stream(spark, sf_dir, "events"), "6 hours", ["user_id"]), "complete")
-    return out.select(START, "user_id", "n")
+    return out.select(start(), "user_id", "n")
 
 
 @query("SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY 1, 2")
