@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import extract, pricing
 from ..functions.binding import let
 from ..functions.numparse import candidate_price, valid_price
+from ..sources.tables import written
 from .ordering import elect, top_k
 
 PRICES = ("price_default", "price_card", "price_discount")
@@ -15,12 +16,16 @@ CANDIDATE = ["video_id", "track_id", "field", "value", "score", "confidence", "v
 
 
 def _support(atoms: DataFrame, by: list[str], bonus: Column) -> DataFrame:
-    """Best atom of the best value.  Atoms: value, atom_score, ordinal, atom."""
-    sums = atoms.groupBy(*by, "value").agg(F.max("atom_score").alias("top"), F.count(F.lit(1)).alias("n"), F.count_distinct("timestamp_ms").alias("times"), F.sum(F.col("close").cast("int")).alias("close"), F.sum(F.col("marker").cast("int")).alias("marks"), F.min(F.struct("ordinal", "atom")).alias("seen"))
-    best = elect(sums.withColumn("value_score", bonus), by, ["value_score", -F.col("seen.ordinal"), -F.col("seen.atom")], ["value", "value_score", "n"])
-    rows = atoms.join(best.select(*by, "value", "value_score", F.col("n").alias("support")), [*by, "value"])
-    keep = [c for c in rows.columns if c not in by]
-    return elect(rows, by, ["atom_score", -F.col("ordinal"), -F.col("atom")], keep)
+    """Best atom of the best value.  Atoms: value, atom_score, close, marker, ordinal, atom.
+
+    Support is counted in a window, so that atoms are computed once and not joined with themselves.
+    """
+    w = Window.partitionBy(*by, "value")
+    rows = atoms.withColumn("top", F.max("atom_score").over(w)).withColumn("n", F.count(F.lit(1)).over(w)).withColumn("times", F.size(F.collect_set("timestamp_ms").over(w)))
+    rows = rows.withColumn("near_n", F.sum(F.col("close").cast("int")).over(w)).withColumn("marks", F.sum(F.col("marker").cast("int")).over(w)).withColumn("seen", F.min(F.struct("ordinal", "atom")).over(w))
+    rows = rows.withColumn("value_score", bonus)
+    best = ["value_score", -F.col("seen.ordinal"), -F.col("seen.atom"), "atom_score", -F.col("ordinal"), -F.col("atom")]
+    return elect(rows, by, best, [c for c in ("value", "value_score", "n", "score", "atom_score", "ordinal") if c not in by]).withColumnRenamed("n", "support")
 
 
 def consensus_price(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -49,7 +54,7 @@ def consensus_price(rows: DataFrame, by: list[str]) -> DataFrame:
     )
     kind = F.when(F.col("a.kind") == "source_marker", F.lit(0.44)).when(F.col("a.kind") == "source_99", F.lit(0.34)).otherwise(parser)
     atoms = atoms.withColumn("atom_score", F.col("common") + kind - fragment).withColumn("close", F.col("near.diff") <= 500)
-    bonus = F.col("top") + F.least("n", F.lit(8)) * 0.07 + F.least("times", F.lit(4)) * 0.05 + F.least("close", F.lit(4)) * 0.10 + F.least("marks", F.lit(4)) * 0.04
+    bonus = F.col("top") + F.least("n", F.lit(8)) * 0.07 + F.least("times", F.lit(4)) * 0.05 + F.least("near_n", F.lit(4)) * 0.10 + F.least("marks", F.lit(4)) * 0.04
     return _support(atoms.drop("near", "a", "common"), by, bonus)
 
 
@@ -61,7 +66,7 @@ def consensus_discount(rows: DataFrame, by: list[str]) -> DataFrame:
     near = F.col("near")
     score = F.col("score") + near["bonus"] - F.col("d.penalty") - extract.implausible_discount(F.col("d.percent")) + F.when(F.col("image_kind") == "tight_enhanced", 0.05).otherwise(0.0)
     atoms = rows.withColumn("atom_score", score).withColumn("close", near["diff"] <= 500).withColumn("marker", F.lit(False)).withColumn("atom", F.lit(0)).withColumn("value", -F.col("d.percent")).drop("d", "near")
-    return _support(atoms, by, F.col("top") + F.least("n", F.lit(6)) * 0.09 + F.least("close", F.lit(4)) * 0.10)
+    return _support(atoms, by, F.col("top") + F.least("n", F.lit(6)) * 0.09 + F.least("near_n", F.lit(4)) * 0.10)
 
 
 def best_candidates(candidates: DataFrame, template: DataFrame) -> DataFrame:
@@ -72,9 +77,10 @@ def best_candidates(candidates: DataFrame, template: DataFrame) -> DataFrame:
     """
     by = ["video_id", "track_id"]
     rows = candidates.join(template.select(*by, "selected_ms"), by)
-    discount = consensus_discount(rows.where("field = 'discount_amount' and valid"), by).select(*by, F.col("value").alias("discount_percent"), F.col("score").alias("discount_score"))
+    # One row per track; each is used several times below.
+    discount = written(consensus_discount(rows.where("field = 'discount_amount' and valid"), by).select(*by, F.col("value").alias("discount_percent"), F.col("score").alias("discount_score")), "discounts")
     prices = rows.where(F.col("field").isin(*PRICES) & F.col("valid") & valid_price(F.col("value"))).join(discount.select(*by, F.abs("discount_percent").alias("discount_percent")), by, "left")
-    card = consensus_price(prices.where("field = 'price_card'").withColumn("card_value", F.lit(None).cast("double")), [*by, "field"])
+    card = written(consensus_price(prices.where("field = 'price_card'").withColumn("card_value", F.lit(None).cast("double")), [*by, "field"]), "cards")
     others = prices.where("field <> 'price_card'").join(card.select(*by, F.col("value").alias("card_value")), by, "left")
     priced = card.select(*by, "field", "value", "score").union(consensus_price(others, [*by, "field"]).select(*by, "field", "value", "score"))
     # A price field without any valid price falls back to the best of all its candidates.
@@ -111,8 +117,6 @@ def name_election(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def first_tier(rows: DataFrame, by: list[str], tiers: list[Column]) -> DataFrame:
     """Rows of the first tier that any row of the group is in."""
-    from pyspark.sql import Window
-
     n = F.lit(len(tiers))
     for i, t in reversed(list(enumerate(tiers))):
         n = F.when(t, F.lit(i)).otherwise(n)

@@ -34,3 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tagframe-{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "part") -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and safe from lost executors."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
