@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -70,6 +71,14 @@ def frame_step(tracks: list[Track], at: int, shift: tuple[float, float], found:
     return out
 
 
+def frames(rows: pd.DataFrame):
+    """(at, shift, detections) of each frame, from rows in order."""
+    every = zip(*(rows[c].tolist() for c in ("at", "shift_x", "shift_y", "confidence", "x_min", "y_min", "x_max", "y_max")))
+    for at, own in groupby(every, key=lambda r: r[0]):
+        own = list(own)
+        yield int(at), (own[0][1], own[0][2]), [(tuple(r[4:]), r[3]) for r in own]
+
+
 def assign(detections: DataFrame, options: Options = Options()) -> DataFrame:
     """``detections``: video_id, det_id, at (ms), shift_x, shift_y, confidence and the box.  Adds track_id."""
     kind = detections.schema["video_id"].dataType.simpleString()
@@ -78,9 +87,8 @@ def assign(detections: DataFrame, options: Options = Options()) -> DataFrame:
         pdf = pdf.sort_values(["at", "det_id"], kind="stable")
         tracks: list[Track] = []
         numbers: list[int] = []
-        for at, rows in pdf.groupby("at", sort=True):
-            found = [((r.x_min, r.y_min, r.x_max, r.y_max), r.confidence) for r in rows.itertuples()]
-            numbers += frame_step(tracks, int(at), (rows.shift_x.iloc[0], rows.shift_y.iloc[0]), found, options)
+        for at, shift, found in frames(pdf):
+            numbers += frame_step(tracks, at, shift, found, options)
         return pd.DataFrame({"video_id": pdf.video_id, "det_id": pdf.det_id, "at": pdf["at"], "track_id": numbers})
 
     return detections.groupBy("video_id").applyInPandas(run, f"video_id {kind}, det_id long, at long, track_id long")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.tracking import Options, Track, frame_step
+from ..operators.tracking import Options, Track, frame_step, frames
 
 
 def track(detections: DataFrame, options: Options = Options()) -> DataFrame:
@@ -27,9 +27,8 @@ def track(detections: DataFrame, options: Options = Options()) -> DataFrame:
         # Numbers go on from those given before, also of forgotten tracks.
         book = [Track(0, (0, 0, 0, 0), -(1 << 62))] * (made - len(tracks)) + tracks
         numbers: list[int] = []
-        for at, part in rows.groupby("at", sort=True):
-            found = [((r.x_min, r.y_min, r.x_max, r.y_max), r.confidence) for r in part.itertuples()]
-            numbers += frame_step(book, int(at), (part.shift_x.iloc[0], part.shift_y.iloc[0]), found, options)
+        for at, shift, found in frames(rows):
+            numbers += frame_step(book, at, shift, found, options)
         newest = int(rows["at"].max())
         live = [t for t in book if newest - t.last <= options.most_gap]
         state.update((json.dumps([(t.number, t.box, t.last) for t in live]), len(book)))
