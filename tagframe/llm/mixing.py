@@ -63,7 +63,7 @@ def mix(
     source_col: str = "source",
     *,
     most_epochs: int = 3,
-    bucket_rows: int = 20_000,
+    bucket_rows: int = 2_000,
     keep: list[str] = (),
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken, and the columns of ``keep``, for every row."""
