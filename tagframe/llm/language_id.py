@@ -137,24 +137,25 @@ def identify(rows: DataFrame, model: TextModel, *, tempered: float = 60.0, prior
     languages, n = model.languages, len(model.languages)
     keys = [c for c in rows.columns if c not in ("text", "is_html", "declared", "suffix", "domain", "host")]
     seen = cut(text_evidence(rows, model, tempered), "evidence")
-    p = softmax(F.col("text_log"))
-    soft = seen.select("declared", "suffix", "domain", "host", *(p[k].alias(f"p{k}") for k in range(n)))
+    # Keys of the four levels.  A null key becomes one of many that no sum has, so that rows without
+    # a value meet nothing and do not meet in one task either.
+    spread = F.concat(F.lit(" "), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string"))
+    levels = {"declared": F.col("declared"), "suffix": F.col("suffix"), "domain": F.concat_ws("|", F.when(F.col("domain").isNotNull(), F.coalesce("suffix", F.lit(""))), "domain"), "host": F.col("host")}
+    levels["domain"] = F.when(F.col("domain").isNotNull(), levels["domain"])
+    own = softmax(F.col("text_log"))
+    seen = seen.withColumn("own", own).withColumns({f"k_{k}": F.coalesce(v, spread) for k, v in levels.items()})
     ps = [f"p{k}" for k in range(n)]
 
-    def sums(*by: str) -> DataFrame:
-        return soft.where(F.col(by[-1]).isNotNull()).groupBy(*by).agg(*(F.sum(c).alias(c) for c in ps)) if by else soft.agg(*(F.sum(c).alias(c) for c in ps))
+    def sums(level: str) -> DataFrame:
+        rows = seen.where(~F.col(f"k_{level}").startswith(" ")).select(f"k_{level}", *(F.col("own")[k].alias(f"p{k}") for k in range(n)))
+        return rows.groupBy(f"k_{level}").agg(*(F.sum(c).alias(c) for c in ps)).select(f"k_{level}", F.array(*ps).alias(f"n_{level}"))
 
-    total = sums().first()
+    total = seen.agg(*(F.sum(F.col("own")[k]).alias(f"p{k}") for k in range(n))).first()
     overall = np.array([total[c] or 0.0 for c in ps]) + 1.0
     prior = overall / overall.sum()
-
-    def counts(name: str, *by: str) -> DataFrame:
-        return sums(*by).select(*by, F.array(*ps).alias(name))
-
-    own = p
-    out = seen.withColumn("own", own)
-    for name, by in (("n_declared", ("declared",)), ("n_suffix", ("suffix",)), ("n_domain", ("suffix", "domain")), ("n_host", ("suffix", "domain", "host"))):
-        out = out.join(counts(name, *by), list(by), "left")
+    out = seen
+    for level in levels:
+        out = out.join(sums(level), f"k_{level}", "left")
     zero = F.array(*[F.lit(0.0)] * n)
     less = lambda c: F.transform(F.coalesce(c, zero), lambda x, i: F.greatest(x - F.element_at("own", (i + 1).cast("int")), F.lit(0.0)))
 
@@ -198,5 +199,5 @@ def document_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     none = F.lit(None).cast("string")
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(False).alias("is_html"), none.alias("declared"),
-        F.lit("source").alias("suffix"), F.lit("source").alias("domain"), F.col(source_col).cast("string").alias("host"),
+        none.alias("suffix"), none.alias("domain"), F.col(source_col).cast("string").alias("host"),
     )
