@@ -110,6 +110,9 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndar
     between = np.zeros(len(data), bool)
     if len(data) > 2:
         between[1:-1] = letter[:-2] & letter[2:]
+    # A text's first and last byte have no neighbours: the next text's aren't theirs.
+    begins = offsets[:-1][np.diff(offsets) > 0]
+    between[begins] = between[offsets[1:][np.diff(offsets) > 0] - 1] = False
     drop = JOINER[data] & between
     kept = np.append(0, np.cumsum(~drop))
     plain = LEET[data][~drop]
@@ -120,6 +123,7 @@ def features(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.ndar
     same = np.zeros(len(data), bool)
     if len(data) > 2:
         same[2:] = letter[2:] & (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2])
+    same[begins] = same[np.minimum(begins + 1, len(data) - 1)] = False
     masked = (PUNCTUATION[data] | DIGIT[data]) & between
 
     hits = [totals(x, first) for x in (fixed, learned, stem, any_, near, you, shouted)]

@@ -248,6 +248,19 @@ def test_isotonic_and_boosting():
     assert ((f.raw(x[400:]) > 0) == y[400:]).mean() > 0.9
 
 
+def test_toxicity_features_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["", "a", "aaa", "aab", "bbb.", ".you 1d10t", "i-d-i-o-t", "!", "x", "xx y", "", "a.b", "-a", "a-"] * 3
+    lexicon = toxicity.Lexicon(toxicity.hashed(toxicity.INSULTS), [np.zeros(0, np.uint64)] * len(toxicity.STEMS))
+
+    def features(group):
+        raw = [t.encode() for t in group]
+        offsets = np.append(0, np.cumsum([len(t) for t in raw])).astype(np.int64)
+        return toxicity.features(np.frombuffer(b"".join(raw), np.uint8), offsets, lexicon)
+
+    together = features(texts)
+    assert all(np.array_equal(row, features([t])[0]) for t, row in zip(texts, together))
+
+
 def test_toxicity_held_out(spark, odd, empty):
     r = random.Random(4)
     words = ["".join(r.choice("bcdfgaeiou") for _ in range(5)) for _ in range(200)]
