@@ -48,6 +48,8 @@ LEET = LOWER.copy()
 for _a, _b in zip(b"0134578@$!", b"oieastbasi"):
     LEET[_a] = _b
 STEMS = (4, 5, 6)
+# Bytes of text taken at once: the features hold about 80 bytes for each of them.
+SLICE = 1 << 17
 
 
 def kinds(data: np.ndarray, offsets: np.ndarray):
@@ -140,7 +142,7 @@ def counter(batches):
     for batch in batches:
         data, offsets = utf8(batch.column(0))
         y = batch.column(1).to_numpy(zero_copy_only=False)
-        for a, b in slices(offsets, 1 << 22):
+        for a, b in slices(offsets, 1 << 19):
             own = offsets[a : b + 1] - offsets[a]
             _, _, first, hashes = kinds(LOWER[data[offsets[a] : offsets[b]]], own)
             doc = np.repeat(np.arange(b - a), np.diff(first)).astype(U64)
@@ -157,7 +159,7 @@ def feature_rows(lexicon: Lexicon):
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(0))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 x = features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lexicon)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([flat, *(batch.column(i)[a:b] for i in (1, 2))], ["x", "y", "part"])
@@ -216,7 +218,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         own = shipped.value
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 s = own.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b].cast(pa.int64()), pa.array(s)], ["doc_id", "score"])
 
@@ -242,7 +244,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     def run(batches):
         for batch in batches:
             data, offsets = utf8(batch.column(at))
-            s = [shipped.value.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
+            s = [shipped.value.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, SLICE)]
             yield batch.filter(pa.array(np.concatenate(s) < threshold)) if s else batch
 
     return docs.mapInArrow(run, docs.schema)
