@@ -44,7 +44,7 @@ WORDS = (
 TOKEN = lut((48, 57), (65, 90), (97, 122), (43, 43), (45, 45), (47, 47), (95, 95))
 LETTER, DIGIT = lut((65, 90), (97, 122)), lut((48, 57))
 BEFORE = re.compile(rb"(?i)(?:^|[^A-Za-z0-9])[A-Za-z0-9_-]{0,24}?" + CREDENTIAL.encode() + rb"[A-Za-z0-9_-]{0,12}[\"']?[ \t]{0,3}$")
-AFTER = re.compile(rb"[ \t]{0,3}[\"']?([^\s\"'<>=:,;]{4,300})")
+AFTER = re.compile(rb"[ \t]{0,3}[\"']?([^\s\"'<>=:,;]{4,})")
 BLOCK = re.compile(rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----.*?(?:-----END [A-Z ]{0,30}PRIVATE KEY-----|\Z)", re.S)
 
 
@@ -71,10 +71,10 @@ def _candidates(data: np.ndarray, raw: bytes, offsets: np.ndarray) -> list[list[
     signs = np.flatnonzero((data == 61) | (data == 58))
     for p, k in zip(signs.tolist(), (np.searchsorted(offsets, signs, side="right") - 1).tolist()):
         o, e = int(offsets[k]), int(offsets[k + 1])
-        if BEFORE.search(raw[max(o, p - 64) : p]) and (m := AFTER.match(raw[p + 1 : min(e, p + 320)])):
+        if BEFORE.search(raw[max(o, p - 64) : p]) and (m := AFTER.match(raw, p + 1, e)):
             value = m.group(1).rstrip(b".!?)]}#*&%$")
             if len(value) >= 4:
-                found[k].append((1, p + 1 + m.start(1) - o, p + 1 + m.start(1) + len(value) - o, "assigned"))
+                found[k].append((1, m.start(1) - o, m.start(1) + len(value) - o, "assigned"))
     if b"-----BEGIN " in raw:
         for k in range(n):
             for m in BLOCK.finditer(raw[offsets[k] : offsets[k + 1]]):

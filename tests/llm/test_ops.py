@@ -103,6 +103,20 @@ def test_secrets_spans_and_redaction(spark, odd, empty):
     assert secrets.candidates(f"x {pem} y".encode()) == [(2, 2 + len(pem), "block")]
 
 
+@pytest.mark.parametrize("n", [301, 5000])
+def test_secrets_long_values_are_whole(spark, n):
+    r = random.Random(n)
+    key = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    jwt = f"eyJ{key[:150]}.{key}.{key[:43]}"
+    for value in (key, jwt):
+        text = f"some words token={value} and more"
+        df = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+        assert [(x.start, x.end, x.value, x.is_secret) for x in secrets.scan(df).collect()] == [(17, 17 + len(value), value, True)]
+        assert [x.text for x in secrets.redact(df).collect()] == ["some words token=<secret> and more"]
+    wide = f"token={'ü€' * n} x".encode()
+    assert secrets.candidates(wide) == [(6, len(wide) - 2, "assigned")]
+
+
 # ---------------------------------------------------------------- 3
 
 
