@@ -1,5 +1,7 @@
 """The pipeline's stages, each on its own input, and its last result."""
 
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -33,3 +35,44 @@ def test_pipeline_empty_and_null(spark):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, df, SF)
             assert out.count() <= df.count()
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def stage_rows(spark, rows):
+    """The near-duplicate stage on (doc_id, text): what stays, sorted."""
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], COLUMNS).repartition(3)
+    out = corpus_pipeline.one_of_each_group(spark, df, SF)
+    assert out.columns == df.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_near_duplicate_stage_links_from_080(spark):
+    """Against all pairs at 0.80; many pairs lie between 0.80 and 0.85."""
+    r = random.Random(11)
+    docs = []
+    for i in range(40):
+        base = [f"w{r.randrange(9000)}" for _ in range(104)]
+        docs.append(base)
+        for edits in (1, 2, 2, 3):
+            d = list(base)
+            for k in range(edits):
+                d[5 + 13 * k + r.randrange(3)] = f"x{i}{k}{r.randrange(9)}"
+            docs.append(d)
+    sets = [{tuple(d[k : k + 5]) for k in range(len(d) - 4)} for d in docs]
+    root, between = list(range(len(docs))), 0
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a in range(len(docs)):
+        for b in range(a + 1, len(docs)):
+            both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            if 100 * both >= 80 * either:
+                between += 100 * both < 85 * either
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    texts = [" ".join(d) for d in docs]
+    assert between > 20
+    assert stage_rows(spark, enumerate(texts)) == sorted(((i, texts[i]) for i in range(len(docs)) if find(i) == i), key=str)
