@@ -10,7 +10,8 @@ against brute-force versions.
 Near-duplicates are documents with a similarity of 0.80 or more (5-word shingles); the 0.85 of op10 is that
 query's own.
 
-Null texts pass the filters (they hold no words); a null doc_id joins with nothing and is kept.
+Null texts pass the filters (they hold no words).  Near-duplicates are decided by row: repeated or null
+doc_ids change nothing but which row of a group stays.
 """
 
 from __future__ import annotations
@@ -22,17 +23,18 @@ from tagframe.llm import decontaminate, mixing, near_dup, secrets, toxicity
 from tagframe.llm._common import cut, table
 
 
-def _but(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id isn't in ``ids``."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-
-
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _but(docs, near_dup.near_duplicates(docs, percent=80).where("not kept"))
+    """One row of each component: the smallest doc_id's (nulls last).  Rows are numbered and written
+    first, so that rows with one doc_id, or none, are decided each for itself."""
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = near_dup.near_duplicates(rows, "_row", percent=80).select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

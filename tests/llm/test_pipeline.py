@@ -76,3 +76,11 @@ def test_near_duplicate_stage_links_from_080(spark):
     texts = [" ".join(d) for d in docs]
     assert between > 20
     assert stage_rows(spark, enumerate(texts)) == sorted(((i, texts[i]) for i in range(len(docs)) if find(i) == i), key=str)
+
+
+def test_near_duplicate_stage_decides_by_row(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    near = b.replace("b59", "x")
+    rows = [(7, a), (7, a), (7, a), (2, b), (5, near), (5, c), (None, d), (None, d), (None, b), (9, None), (9, None), (3, " ")]
+    want = [(7, a), (2, b), (5, c), (None, d), (9, None), (9, None), (3, " ")]
+    assert stage_rows(spark, rows) == sorted(want, key=str)
