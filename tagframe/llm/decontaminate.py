@@ -13,7 +13,9 @@ word number, so that a word hit in two shards counts once).  Documents stay wher
 there is no shuffle with one shard.
 
 Null and empty texts have no words; items without words have no window; repeated items
-and repeated documents are treated row by row; items with equal windows all count.
+and repeated documents are treated row by row; items with equal windows all count.  Items
+whose id is null hit like others and are together one item without a name: a null in
+``items``, counted by n_items, left out of items_sha256.
 """
 
 from __future__ import annotations
@@ -86,7 +88,7 @@ def scanner(shipped):
                     else:
                         merged.append([x, y])
                 spans.append(([m[0] for m in merged], [m[1] for m in merged], [int(first[m[0]]) for m in merged], [int(stop[m[1] - 1]) for m in merged]))
-                items.append(sorted({x for i in {i for _, (i, _) in hits} for x in patterns[i][1]}))
+                items.append(sorted({x for i in {i for _, (i, _) in hits} for x in patterns[i][1]}, key=lambda x: (x is not None, x or "")))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), *(pa.array([s[k] for s in spans], longs) for k in range(4)), pa.array(items, pa.list_(pa.string()))],
@@ -97,7 +99,7 @@ def scanner(shipped):
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(window, items): distinct windows with the ids of their items, as strings."""
+    """(window, items): distinct windows with the ids of their items, as strings; a null id is kept as one."""
 
     def cut(batches):
         for batch in batches:
@@ -106,13 +108,13 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, width: i
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], ["window", "item"])
 
     items = benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
-    return items.mapInArrow(cut, "window string, item string").where("item is not null").groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return items.mapInArrow(cut, "window string, item string").groupBy("window").agg(F.sort_array(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"])).alias("items"))
 
 
 def shipped_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, most_chars: int) -> list:
     """Broadcasts of (window, items), each of about ``most_chars`` characters at most."""
     found = benchmark_windows(benchmark, id_col, text_col, width)
-    length = F.length("window") + F.aggregate("items", F.lit(0), lambda a, x: a + F.length(x))
+    length = F.length("window") + F.aggregate("items", F.lit(0), lambda a, x: a + F.coalesce(F.length(x), F.lit(0)))
     shards = max(1, -(-(found.agg(F.sum(length)).first()[0] or 0) // most_chars))
     out = []
     for k in range(shards):

@@ -385,6 +385,19 @@ def test_decontamination_brute_force(spark, odd, empty, most):
     assert {r.doc_id for r in decontaminate.without_hits(df, bench, most_chars=most).collect()} == {k for k in got if not got[k].contaminated}
 
 
+@pytest.mark.parametrize("most", [10**7, 60])
+def test_decontamination_items_without_id_hit(spark, most):
+    lone, both = ([f"{k}{i}" for i in range(12)] for k in "pq")
+    docs = [(1, " ".join(lone)), (2, " ".join(both)), (3, "clean words")]
+    items = [(None, " ".join(lone)), (None, " ".join(both)), ("x", " ".join(both))]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    found = decontaminate.decontaminate(df, bench, most_chars=most)
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in found.collect()} == {1: (12, [None]), 2: (12, [None, "x"]), 3: (0, [])}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {r.doc_id: (r.n_items, r.items_sha256) for r in decontaminate.digest(found).collect()} == {1: (1, sha("")), 2: (2, sha("x")), 3: (0, sha(""))}
+    assert [r.doc_id for r in decontaminate.without_hits(df, bench, most_chars=most).collect()] == [3]
+
+
 # ---------------------------------------------------------------- 9
 
 
