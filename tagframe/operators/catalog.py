@@ -128,8 +128,12 @@ def full_score(q: str = "q", e: str = "e") -> Column:
 
 
 def matched(queries: DataFrame, catalog: DataFrame, *, preselected: int = 900, keep: int = 5, kinds: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
-    """The best entries of each query: query_id, entry_id, name, score, rank.  Give distinct queries."""
+    """The best entries of each query: query_id, entry_id, name, score, rank.  Give distinct queries.
+
+    Each query meets ``preselected`` entries, or all of a smaller catalogue: blocked ones first, then others by id.
+    """
     pairs = preselect(blocked(queries, catalog, kinds), preselected)
+    pairs = preselect(padded(pairs, queries, catalog, preselected), preselected)
     side = lambda df, x: df.select(F.col("id").alias(f"{'query' if x == 'q' else 'entry'}_id"), F.struct("name", "norm", "tokens", "brands", "units", "trigrams", "category").alias(x))
     both = pairs.join(side(queries, "q"), "query_id").join(side(catalog, "e"), "entry_id")
     both = both.withColumn("fuzzy", token_ratio(F.col("q.tokens"), F.col("e.tokens"))).withColumn("chars", text_ratio(F.col("q.norm"), F.col("e.norm")))

@@ -58,7 +58,7 @@ def fuzzy_match(spark, sf_dir):
     """Each part name, its last letter lost, against all names."""
     n = names(spark, sf_dir)
     q = catalog.entries(n.withColumn("p_name", F.expr("substr(p_name, 1, length(p_name) - 1)")), "id", "p_name")
-    return catalog.accepted(catalog.matched(q, catalog.entries(n, "id", "p_name"), preselected=50))
+    return catalog.accepted(catalog.matched(q, catalog.entries(n, "id", "p_name")))
 
 
 @query()

@@ -184,3 +184,21 @@ def test_registered_queries(spark):
 def test_ordering(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), ("b", 3, None)], "k string, i long, s double")
     assert {(r.k, r.i) for r in ordering.elect(df, ["k"], ["s", -F.col("i")], ["i"]).collect()} == {("a", 1), ("b", 3)}
+
+
+def test_matched_scores_every_preselected_entry(spark):
+    """Unblocked entries fill up what blocking leaves free of 900."""
+    rows = spark.createDataFrame([(i, f"red green {i:03d}") for i in range(60)] + [(100, "reg gren blux"), (101, "zzzz")], "id long, name string")
+    q = spark.createDataFrame([(1, "red green blux"), (2, "qqqq")], "id long, name string")
+    side = [catalog.entries(x, "id", "name") for x in (q, rows)]
+    got = [(r.query_id, r.entry_id) for r in catalog.matched(*side, keep=62).collect()]
+    assert sorted(got) == [(i, j) for i in (1, 2) for j in (*range(60), 100, 101)]
+
+
+def test_fuzzy_match_query_scores_as_the_default(spark, monkeypatch):
+    from tagframe.plans import catalog as plan
+
+    seen, own = [], catalog.padded
+    monkeypatch.setattr(catalog, "padded", lambda pairs, q, e, k=900: seen.append(k) or own(pairs, q, e, k))
+    plan.fuzzy_match(spark, "/root/testdata/sf0.001")
+    assert seen == [900]
