@@ -54,7 +54,7 @@ class Pieces:
     prior: list[np.ndarray]
 
     @staticmethod
-    def load(path: str = TOKENIZER, longest: int = 12) -> Pieces:
+    def load(path: str = TOKENIZER) -> Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -66,7 +66,7 @@ class Pieces:
             opens = piece.startswith("▁")
             name = piece[opens:].encode()
             score = model.get_score(i)
-            if "▁" in piece[1:] or len(name) > longest or any(65 <= b <= 90 for b in name) or score < -1e8:
+            if "▁" in piece[1:] or any(65 <= b <= 90 for b in name) or score < -1e8:
                 continue
             found[0 if opens else 1][name] = 1 / (2 - score)
         found[0].setdefault(b"", 0.1)

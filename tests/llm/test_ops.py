@@ -328,6 +328,19 @@ def test_lattice_equals_all_segmentations():
     assert math.isclose(counts[1][pieces.names[1].index(b"\n")], len(words))
 
 
+def test_lattice_loads_pieces_of_every_length():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=lattice_lm.TOKENIZER)
+    pieces = lattice_lm.Pieces.load()
+    wanted: list[set] = [{b""}, {bytes([b]) for b in range(256)}]
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or "▁" in piece[1:] or re.search("[A-Z]", piece) or model.get_score(i) < -1e8):
+            wanted[not piece.startswith("▁")].add(piece.removeprefix("▁").encode())
+    assert [set(n) for n in pieces.names] == wanted and b"international" in wanted[0]
+
+
 @pytest.mark.parametrize("hot", [0, 100_000])
 def test_lm_base_score_and_mass(spark, hot):
     docs = [(i, t, "en" if i % 3 else "de") for i, t in corpus(150)] + [(900, None, None), (901, "", "en"), (902, "Brandnew unseenword É", "en")]
