@@ -84,12 +84,11 @@ def count_trigrams(languages: list[str]):
     return run
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, most_rows: int = 20_000, most_languages: int = 40) -> TextModel:
-    """From at most ``most_rows`` rows with a text and a language, by the hash of their ids."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, most_rows: int = 20_000) -> TextModel:
+    """From at most ``most_rows`` rows with a text and a language, by the hash of their ids; all their languages."""
     known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang")).where("id is not null and lang is not null")
     ids = known.orderBy(F.xxhash64("id"), "id").limit(most_rows)
-    top = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
-    languages = sorted(r.lang for r in top)
+    languages = sorted(r.lang for r in ids.select("lang").distinct().collect())
     if not languages:
         return TextModel(["und"], np.zeros((1, BUCKETS)))
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))

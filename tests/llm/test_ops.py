@@ -8,10 +8,12 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tagframe.llm import decontaminate, gif, language_id, lattice_lm, mixing, near_dup, preference, secrets, token_counts, toxicity, trees
+from tagframe.llm._common import utf8
 
 ODD = [
     (1, "", "en", "a"), (2, None, "en", None), (3, "word " * 3000, "de", "a"), (4, "one two three", None, "b"), (4, "one two three", None, "b"),
@@ -434,6 +436,20 @@ def test_language_fusion(spark, odd, empty):
     assert language_id.html_text("<html><head><title>t</title></head><p>a&amp;b<!-- c --></p>").split() == ["a&b"]
 
 
+def test_language_model_has_every_language(spark):
+    """Each of 45 languages has its own letters; the last ones are the rarest."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(45):
+        word = letters[k % 26] * 3 + letters[(k * 7 + 3) % 26] * 3 + letters[k // 26] * 2
+        rows += [(len(rows) + i, f"{word} {word} {word}", f"l{k:02d}", None) for i in range(2 if k < 40 else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language_id.fit(df)
+    assert model.languages == [f"l{k:02d}" for k in range(45)]
+    data, offsets = utf8(pa.array([r[1] for r in rows]))
+    assert [model.languages[i] for i in model.score(data, offsets, 60.0).argmax(axis=1)] == [r[2] for r in rows]
+
+
 # ---------------------------------------------------------------- 10
 
 
