@@ -9,7 +9,9 @@ rule makes (``labelled_findings``).  At most ``most_findings`` are used.
 
 Null and empty texts have no candidates.  A null path is an empty one.  Repeated rows are
 scanned each.  Offsets are in characters of the original text, ends exclusive; findings of
-one document don't overlap.
+one document don't overlap: candidates that do are one, from the first's start to the last's
+end, with the strongest kind (block, assigned, run).  A text's candidates cost time in
+proportion to its length.
 """
 
 from __future__ import annotations
@@ -43,6 +45,7 @@ WORDS = (
 
 TOKEN = lut((48, 57), (65, 90), (97, 122), (43, 43), (45, 45), (47, 47), (95, 95))
 LETTER, DIGIT = lut((65, 90), (97, 122)), lut((48, 57))
+NAMED = lut((9, 9), (32, 32), (34, 34), (39, 39), (45, 45), (48, 57), (65, 90), (95, 95), (97, 122))  # what BEFORE can end with
 BEFORE = re.compile(rb"(?i)(?:^|[^A-Za-z0-9])[A-Za-z0-9_-]{0,24}?" + CREDENTIAL.encode() + rb"[A-Za-z0-9_-]{0,12}[\"']?[ \t]{0,3}$")
 AFTER = re.compile(rb"[ \t]{0,3}[\"']?([^\s\"'<>=:,;]{4,})")
 BLOCK = re.compile(rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----.*?(?:-----END [A-Z ]{0,30}PRIVATE KEY-----|\Z)", re.S)
@@ -69,6 +72,8 @@ def _candidates(data: np.ndarray, raw: bytes, offsets: np.ndarray) -> list[list[
         o = int(offsets[k])
         found[k].append((2, a - o, b - o, "run"))
     signs = np.flatnonzero((data == 61) | (data == 58))
+    signs = signs[signs > 0]
+    signs = signs[NAMED[data[signs - 1]]]
     for p, k in zip(signs.tolist(), (np.searchsorted(offsets, signs, side="right") - 1).tolist()):
         o, e = int(offsets[k]), int(offsets[k + 1])
         if BEFORE.search(raw[max(o, p - 64) : p]) and (m := AFTER.match(raw, p + 1, e)):
@@ -81,11 +86,15 @@ def _candidates(data: np.ndarray, raw: bytes, offsets: np.ndarray) -> list[list[
                 found[k].append((0, m.start(), m.end(), "block"))
     out = []
     for own in found:
-        taken: list[tuple[int, int, str]] = []
-        for _, a, b, kind in sorted(own):
-            if all(b <= x or a >= y for x, y, _ in taken):
-                taken.append((a, b, kind))
-        out.append(sorted(taken))
+        taken: list[list] = []
+        for rank, a, b, kind in sorted(own, key=lambda c: c[1:3]):
+            if taken and a < taken[-1][1]:
+                last = taken[-1]
+                last[1] = max(last[1], b)
+                last[2:] = min(last[2:], [rank, kind])
+            else:
+                taken.append([a, b, rank, kind])
+        out.append([(a, b, kind) for a, b, _, kind in taken])
     return out
 
 
@@ -107,12 +116,7 @@ def described(before: str, value: str, after: str, path: str, kind: str, bigrams
     steps = sum(abs(ord(b) - ord(a)) <= 1 for a, b in zip(low, low[1:])) / max(1, n - 1)
     pairs = [low[i : i + 2] for i in range(n - 1) if low[i : i + 2].isalpha()]
     natural = sum(bigrams.get(p, bigrams[""]) for p in pairs) / max(1, len(pairs))
-    covered, i = 0, 0
-    words = _LONG_FIRST
-    while i < n:  # greedy dictionary coverage, longest words first
-        w = next((w for w in words if low.startswith(w, i)), None)
-        covered += len(w) if w else 0
-        i += len(w) if w else 1
+    covered = sum(len(w) for w in _KNOWN.findall(low))  # greedy, longest words first
     runs = max((len(r) for r in re.findall(r"[a-z]+", low)), default=0)
     near = re.findall(r"[a-z0-9_-]+", before.lower())[-5:]
     follow = re.findall(r"[a-z0-9_-]+", after.lower())[:5]
@@ -129,7 +133,15 @@ def described(before: str, value: str, after: str, path: str, kind: str, bigrams
     ]
 
 
-_LONG_FIRST = sorted({w for w in WORDS + HARMLESS if len(w) >= 3}, key=lambda w: (-len(w), w))
+def _any_of(words: set[str]) -> re.Pattern:
+    """The words as one pattern, by first letters, longest first."""
+    by: dict[str, list[str]] = {}
+    for w in sorted(words, key=lambda w: (-len(w), w)):
+        by.setdefault(w[0], []).append(w[1:])
+    return re.compile("|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by.items())))
+
+
+_KNOWN = _any_of({w for w in WORDS + HARMLESS if len(w) >= 3})
 
 
 def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[str, str, str, str, int]]:
@@ -145,11 +157,14 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[str, str, str,
     out = []
     for _ in range(n):
         good = r.random() < 0.5
-        path = r.choice(["src0", "src7", "web", "config/prod.env", "app/settings.py", "deploy.yml", ""]) if r.random() < (0.8 if good else 0.6) else r.choice(["tests/fixtures/a.py", "docs/example.md", "samples/readme.md"])
+        path = r.choice(["web", "forum", "config/prod.env", "app/settings.py", "deploy.yml", ""]) if r.random() < (0.8 if good else 0.6) else r.choice(["tests/fixtures/a.py", "docs/example.md", "samples/readme.md"])
         before, after = prose(r.randint(0, 6)) + " ", r.choice(["", '"', "'"]) + " " + prose(r.randint(0, 6))
         if good:
-            kind = r.randrange(7)
-            if kind == 0:
+            kind = r.randrange(8)
+            if kind == 7:
+                what = r.choice(["", "RSA ", "EC ", "OPENSSH "]) + "PRIVATE KEY-----"
+                value = f"-----BEGIN {what}\n" + "\n".join(pick(mixed + "+/", 64) for _ in range(r.randint(1, 12))) + r.choice(["", f"\n-----END {what}"])
+            elif kind == 0:
                 value = "AKIA" + pick(upper, 16)
                 before += r.choice(["", assign()])
             elif kind == 1:
@@ -167,8 +182,11 @@ def labelled_findings(n: int = 3000, seed: int = 5) -> list[tuple[str, str, str,
             if r.random() < 0.2:
                 before, value, after = before.upper(), value.upper(), after.upper()
         else:
-            kind = r.randrange(9)
-            if kind == 0:
+            kind = r.randrange(10)
+            if kind == 9:
+                inner = r.choice(["...", "<redacted>", "your key here", "xxxxxxxxxxxxxxxx", prose(3), ""])
+                value = f"-----BEGIN PRIVATE KEY-----\n{inner}\n-----END PRIVATE KEY-----"
+            elif kind == 0:
                 value = r.choice(["your", "my", "the", "insert", "example", "sample", "dummy", "test"]) + r.choice("_-") + "_".join(dictionary() for _ in range(r.randint(1, 3))) + r.choice(["", "_here", "123", "1"])
                 before += assign()
             elif kind == 1:
@@ -202,7 +220,7 @@ def train(findings: list[tuple[str, str, str, str, int]]) -> Forest:
     bigrams = _bigrams()
     rows = []
     for before, value, after, path, label in findings:
-        kind = "assigned" if BEFORE.search(re.sub(r"[=:][ \t]*[\"']?$", "", before).encode()) and re.search(r"[=:][ \t]*[\"']?$", before) else "run"
+        kind = "block" if value.startswith("-----BEGIN ") else "assigned" if BEFORE.search(re.sub(r"[=:][ \t]*[\"']?$", "", before).encode()) and re.search(r"[=:][ \t]*[\"']?$", before) else "run"
         rows.append((described(before[-64:], value, after[:64], path or "", kind, bigrams), label))
     return random_forest(np.array([x for x, _ in rows], float), np.array([y for _, y in rows], float))
 
@@ -225,7 +243,7 @@ def _scored(batch, forest: Forest, bigrams: dict[str, float]):
         scores = np.clip(forest.raw(np.array(rows, float)), 0, 1) if rows else []
         out: list[list] = [[] for _ in range(b - a)]
         for (k, s, t, kind, value), score in zip(at, scores):
-            out[k].append((s, t, kind, value, 1.0 if kind == "block" else float(score)))
+            out[k].append((s, t, kind, value, float(score)))
         yield a, b, raw, own, out
 
 
