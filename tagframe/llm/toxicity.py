@@ -236,7 +236,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose score is below ``threshold``; no shuffle."""
+    """The rows of ``docs``, unchanged, whose score is below ``threshold``; no shuffle.  Null and
+    empty texts, which hold nothing toxic, stay whatever the model makes of them."""
     model = fit(docs, labels.where(~held_out(F.col(id_col))), id_col, text_col)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
@@ -245,6 +246,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         for batch in batches:
             data, offsets = utf8(batch.column(at))
             s = [shipped.value.score(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets, SLICE)]
-            yield batch.filter(pa.array(np.concatenate(s) < threshold)) if s else batch
+            yield batch.filter(pa.array((np.concatenate(s) < threshold) | (np.diff(offsets) == 0))) if s else batch
 
     return docs.mapInArrow(run, docs.schema)
