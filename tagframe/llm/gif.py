@@ -11,7 +11,9 @@ where the code before it starts, so each output byte names an earlier output byt
 those references are resolved by pointer jumping; the codes' widths between two clear
 codes follow from their position alone.
 
-A broken or truncated stream raises ValueError; a null GIF has no frames.  Equal inputs give
+A broken or truncated stream, one with a canvas or image of more than ``MOST_CANVAS`` pixels or
+with more than ``MOST_PIXELS`` in all images raises ValueError in ``parse``; ``frames`` and ``digest`` give
+such a GIF one row with its ``status`` (``ok``, ``null`` or the error) and nulls.  Equal inputs give
 equal outputs, so repeated rows do too.
 """
 
@@ -28,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MOST_CANVAS, MOST_PIXELS = 1 << 26, 1 << 30  # pixels of a canvas or image; of a GIF's images in all
 UNIT = 192  # a payload's bytes are a multiple of it, and a packed frame's width
 
 
@@ -146,6 +149,8 @@ def lzw_decode(stream: bytes, bits: int, most: int) -> bytes:
             at = limit
         if not len(codes):
             continue
+        # A code gives a byte at least, so that no more of them are looked at than bytes are wanted.
+        codes = codes[: most - made]
         entry = codes - end - 1  # a code's table entry: made after that code number
         index = np.arange(len(codes))
         if (entry >= index).any() or codes[0] > end:
@@ -156,6 +161,8 @@ def lzw_decode(stream: bytes, bits: int, most: int) -> bytes:
             length[live] += length[link[live]]
             link[live] = link[link[live]]
         start = np.cumsum(length) - length
+        wanted = int(np.searchsorted(start, most - made))  # codes that start within what is wanted
+        codes, entry, length, start = codes[:wanted], entry[:wanted], length[:wanted], start[:wanted]
         total = int(length.sum())
         source = np.arange(total)
         many = np.flatnonzero(entry >= 0)
@@ -234,12 +241,15 @@ def _interlaced(height: int) -> np.ndarray:
     return np.concatenate([np.arange(a, height, s) for a, s in ((0, 8), (4, 8), (2, 4), (1, 2))])
 
 
-def parse(data: bytes) -> Gif:
+def parse(data: bytes, most_canvas: int = MOST_CANVAS, most_pixels: int = MOST_PIXELS) -> Gif:
     """The images of a GIF, LZW decoded, rows in order."""
+    pixels = 0
     try:
         if data[:6] not in (b"GIF87a", b"GIF89a"):
             raise ValueError("not a GIF")
         width, height, flags, background, _ = struct.unpack_from("<HHBBB", data, 6)
+        if width * height > most_canvas:
+            raise ValueError("more pixels than allowed")
         at, palette = 13, b""
         if flags & 0x80:
             n = 3 << (flags & 7) + 1
@@ -270,6 +280,11 @@ def parse(data: bytes) -> Gif:
                     n = 3 << (f & 7) + 1
                     own, at = data[at : at + n], at + n
                 depth = data[at]
+                pixels += w * h
+                if not 2 <= depth <= 8:
+                    raise ValueError("a code size outside 2 to 8")
+                if w * h > most_canvas or pixels > most_pixels:
+                    raise ValueError("more pixels than allowed")
                 body, at = blocks(at + 1)
                 samples = lzw_decode(body, depth, w * h)
                 if len(samples) < w * h:
@@ -358,34 +373,47 @@ def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+def checked(data: bytes | None) -> tuple[Gif | None, str]:
+    """The parsed GIF and its status."""
+    if data is None:
+        return None, "null"
+    try:
+        return parse(data), "ok"
+    except ValueError as e:
+        return None, f"broken: {e}"
+
+
 def frames(media: DataFrame, id_col: str = "doc_id", media_col: str = "media", *, pixels: bool = True) -> DataFrame:
-    """One row per frame: id, frame, start_ms, delay_ms, width, height, rgba (null without
-    ``pixels``), histogram (64 counts).  A null GIF has no frame."""
+    """One row per frame: id, status, frame, start_ms, delay_ms, width, height, rgba (null without
+    ``pixels``), histogram (64 counts).  A null or broken GIF has one row, with its status and nulls."""
+    names = ["id", "status", "frame", "start_ms", "delay_ms", "width", "height", "rgba", "histogram"]
 
     def run(batches):
         for batch in batches:
-            for key, data in zip(batch.column(0), batch.column(1).to_pylist()):
-                if data is None:
-                    continue
-                gif = parse(data)
-                for i, (start, delay, canvas) in enumerate(composed(gif)):
-                    row = [key.as_py()], [i], [start], [delay], [gif.width], [gif.height], [canvas.tobytes() if pixels else None], [histogram(canvas)]
-                    types = [batch.column(0).type, *[pa.int64()] * 5, pa.binary(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], ["id", "frame", "start_ms", "delay_ms", "width", "height", "rgba", "histogram"])
+            types = [batch.column(0).type, pa.string(), *[pa.int64()] * 5, pa.binary(), pa.list_(pa.int64())]
+            for key, data in zip(batch.column(0), batch.column(1)):
+                gif, status = checked(data.as_py())
+                rows = ((status, i, start, delay, gif.width, gif.height, canvas.tobytes() if pixels else None, histogram(canvas)) for i, (start, delay, canvas) in enumerate(composed(gif))) if gif else [(status, *[None] * 7)]
+                for row in rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((key.as_py(), *row), types)], names)
 
     kind = media.schema[id_col].dataType.simpleString()
-    return media.select(id_col, media_col).mapInArrow(run, f"id {kind}, frame long, start_ms long, delay_ms long, width long, height long, rgba binary, histogram array<long>")
+    return media.select(id_col, media_col).mapInArrow(run, f"id {kind}, status string, frame long, start_ms long, delay_ms long, width long, height long, rgba binary, histogram array<long>")
 
 
 def digest(media: DataFrame) -> DataFrame:
-    """What the stored GIFs hold, read back: payload and media digests, and a feature string
+    """What the stored GIFs hold, read back: status, payload and media digests, and a feature string
     of frames, duration and the colour histogram summed over the frames' visible pixels."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for data in batch.column("media").to_pylist():
-                gif = parse(data)
+            for data in batch.column("media"):
+                data = data.as_py()
+                gif, status = checked(data)
+                if gif is None:
+                    rows.append((*[None] * 6, status))
+                    continue
                 payload = b"".join(im.samples for im in gif.images)
                 total, length = np.zeros(64, np.int64), 0
                 for start, delay, canvas in composed(gif):
@@ -393,11 +421,11 @@ def digest(media: DataFrame) -> DataFrame:
                     length = start + delay
                 shades = ",".join(f"{k}:{v}" for k, v in enumerate(total.tolist()) if v)
                 feature = f"gif {gif.width}x{gif.height} frames={len(gif.images)} ms={length} histogram={shades}"
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature, status))
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "status"]
             columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", *names])
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, status string"
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
