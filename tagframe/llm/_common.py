@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; a temporary one only in local mode where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tagframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -37,7 +40,49 @@ def cut(df: DataFrame, name: str = "part") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tagframe-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for made in SCRATCH:
+        made.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+SCRATCH: list[list[str]] = []  # of each open scratch(): the tables written in it
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes at its end the tables that ``cut`` wrote in it: what is wanted must be written elsewhere
+    by then (yields a function that takes a table that ``cut`` gave out of the list)."""
+    made: list[str] = []
+    SCRATCH.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        made.remove(df.written_to)
+        return df
+
+    try:
+        yield keep
+    finally:
+        SCRATCH.remove(made)
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def dealt(key: Column, parts: int = 16) -> Column:
+    """A part number of a row, by which one hot key's rows are dealt over tasks in a join."""
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def parts_of(part: str) -> Column:
+    """Aggregate: the parts that a key's rows have, as bits."""
+    return F.bit_or(F.expr(f"shiftleft(1, `{part}`)"))
+
+
+def each_part(mask: str, parts: int = 16) -> Column:
+    """The parts of a mask, one row each: a key's row is repeated only for parts that it has."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.col(mask).bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0))
 
 
 def byte_words(col) -> F.Column:

@@ -10,13 +10,17 @@ least half of it fits.
 
 Prefix sums do not gather a source in one task: keys are dealt into as many buckets as a
 source's documents ask for (about ``bucket_rows`` each); bucket totals are summed with
-partial aggregation, a window over totals finds the one bucket per source that the budget
-cuts, and rows are ordered inside that bucket only.
+partial aggregation, windows over totals (of 1,000 buckets, then of buckets) find the one
+bucket per source that the budget cuts, and rows are ordered inside that bucket only.
+Sources are numbered by a range sort and their level is found by aggregates, so that
+millions of sources (hosts) do not meet in one task; joins on a source are dealt by part, so
+that a source with a third of all rows does not either.
 
 Null texts count as empty (size 0; nothing is taken).  A null source is a source of its own,
 last in order.  Ties of the key fall to doc_id, then to the text's hash; a null doc_id takes
 part like any other.  Rows that repeat a document are taken independently of each other.  An
-empty table gives no rows.
+empty table gives no rows.  A kept column that has the name of a result column (doc_id, size,
+source_size, target, taken) gives way to it.
 """
 
 from __future__ import annotations
@@ -24,7 +28,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import byte_words, cut
+from ._common import byte_words, cut, dealt, each_part, parts_of
+
+RESULT = ("doc_id", "size", "source_size", "target", "taken")
 
 
 def quality(text: Column) -> Column:
@@ -38,22 +44,33 @@ def uniform(key: Column) -> Column:
     return (F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def numbered(rows: DataFrame, *order: Column) -> DataFrame:
+    """``rows`` with ``place``, from 0, in ``order``: ranges are sorted apart, their sizes added up."""
+    ranges = cut(rows.orderBy(*order).withColumn("id", F.monotonically_increasing_id()), "ranges")
+    part, at = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
+    sizes = sorted((r.part, r.n) for r in ranges.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, rows_before = 0, {}
+    for k, n in sizes:
+        rows_before[k] = before
+        before += n
+    # One entry per range of the sort.
+    start = F.create_map(*(F.lit(x) for k in rows_before for x in (k, rows_before[k]))) if sizes else F.lit(None).cast("map<bigint,bigint>")
+    return ranges.withColumn("place", (start[part] + at).cast("long")).drop("id")
+
+
 def targets(sizes: DataFrame, most_epochs: int = 3) -> DataFrame:
-    """(source, n_docs, source_size, weight, target) from (source, n_docs, source_size).
-
-    One row per source: the number of sources, not of documents, bounds this window.
-    """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    w = sizes.withColumn("weight", (F.pmod(F.row_number().over(order) - 1, F.lit(3)) + 1).cast("double"))
-    w = w.withColumn("cap", (F.col("source_size") * most_epochs).cast("double"))
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(F.lit(0))
-    w = w.withColumn("capped", F.coalesce(F.sum("cap").over(before), F.lit(0.0))).withColumn("out", F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    w = w.withColumn("level", (F.sum("source_size").over(whole) - F.col("capped")) / (F.sum("weight").over(whole) - F.col("out")))
-    # With all smaller ratios capped, this source is the first whose cap holds the level.
-    w = w.withColumn("holds", F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(whole)["level"])
-    return w.select("source", "n_docs", "source_size", "weight", F.least(F.col("cap"), F.coalesce(F.col("holds") * F.col("weight"), F.col("cap"))).alias("target"))
+    """``sizes`` (source, source_size, ...) with weight and target; one row per source."""
+    w = numbered(sizes, F.col("source").asc_nulls_last()).withColumn("weight", (F.pmod("place", F.lit(3)) + 1).cast("double"))
+    w = w.drop("place").withColumn("cap", (F.col("source_size") * most_epochs).cast("double"))
+    every = w.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    words, weight, level = float(every.words or 0), every.weight or 1.0, 0.0
+    # Sources below the level are capped; what they leave raises it, until no further one is.
+    capped, out = 0.0, 0.0
+    while weight > out and (new := (words - capped) / (weight - out)) > level:
+        level = new
+        low = w.where(F.col("cap") / F.col("weight") < level).agg(F.sum("cap").alias("cap"), F.sum("weight").alias("weight")).first()
+        capped, out = low.cap or 0.0, low.weight or 0.0
+    return w.withColumn("target", F.least("cap", F.lit(level) * F.col("weight"))).drop("cap")
 
 
 def mix(
@@ -68,31 +85,46 @@ def mix(
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken, and the columns of ``keep``, for every row."""
     text = F.col(text_col).cast("string")
+    keep = [c for c in keep if c.lower() not in RESULT]
+    source = F.col(source_col).cast("string")
     rows = docs.select(
-        *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)),
+        *(F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(keep)),
         F.col(id_col).cast("long").alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
+        F.coalesce(F.concat(F.lit("s"), source), F.lit("null")).alias("sid"),
         byte_words(text).alias("size"),
         (-F.log(uniform(F.col(id_col))) / quality(text)).alias("key"),
         F.xxhash64(text).alias("tie"),
     )
-    rows = cut(rows, "mix")
-    totals = targets(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size")), most_epochs)
+    rows = cut(rows.withColumn("part", dealt(F.concat_ws("|", "key", "tie"))), "mix")
+    sizes = rows.groupBy("sid").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"), parts_of("part").alias("parts"))
+    totals = targets(sizes.withColumn("source", F.when(F.col("sid") != "null", F.substring("sid", 2, 1 << 30))), most_epochs).drop("source")
     totals = totals.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     totals = totals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    totals = totals.withColumn("n_buckets", F.ceil(F.col("n_docs") / bucket_rows))
-    # Sources may be many: their table joins by size, not by a forced broadcast.
-    totals = cut(totals.withColumn("sid", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))).drop("source"), "sources")
-    rows = rows.withColumn("sid", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))).drop("source").join(totals, "sid")
+    totals = cut(totals.withColumn("n_buckets", F.ceil(F.col("n_docs") / bucket_rows)), "sources")
+
+    def beside(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+        """A source's row is repeated for its parts, of which a large source has all."""
+        return rows.join(found.withColumn("part", each_part("parts")).drop("parts"), ["sid", "part"], how)
+
     # 1 - exp(-key) is near uniform for weights near 1, and monotone in any case.
-    rows = rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key") * 0.8)) * F.col("n_buckets")), F.col("n_buckets") - 1))
-    sums = rows.groupBy("sid", "bucket", "rest").agg(F.sum("size").alias("bucket_size"))
-    before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
-    edge = cut(sums.where("before <= rest and rest < before + bucket_size").select("sid", F.col("bucket").alias("edge"), "before"), "edges")
-    rows = rows.join(edge, "sid", "left")
+    bucket = F.least(F.floor((1 - F.exp(-F.col("key") * 0.8)) * F.col("n_buckets")), F.col("n_buckets") - 1)
+    sums = beside(rows.select("sid", "part", "key", "size"), totals.select("sid", "parts", "n_buckets"))
+    sums = cut(sums.groupBy("sid", bucket.alias("bucket")).agg(F.sum("size").alias("bucket_size")), "buckets")
+
+    def crossed(sums: DataFrame, by: str) -> DataFrame:
+        """sid, ``by``, before: the one of a source's sums in which its rest ends."""
+        order = Window.partitionBy("sid").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.col("above"), F.lit(0)) + F.coalesce(F.sum("bucket_size").over(order), F.lit(0))
+        return sums.withColumn("before", before).where("before <= rest and rest < before + bucket_size").select("sid", by, "before")
+
+    thousand = F.floor(F.col("bucket") / 1000).alias("thousand")
+    tops = sums.groupBy("sid", thousand).agg(F.sum("bucket_size").alias("bucket_size")).join(totals.select("sid", "rest"), "sid")
+    top = crossed(tops.withColumn("above", F.lit(0)), "thousand").withColumnRenamed("before", "above")
+    inner = sums.withColumn("thousand", thousand).join(top, ["sid", "thousand"]).join(totals.select("sid", "rest"), "sid")
+    edge = crossed(inner, "bucket").withColumnRenamed("bucket", "edge")
+    rows = beside(rows, cut(totals.join(edge, "sid", "left"), "edges")).withColumn("bucket", bucket)
     running = Window.partitionBy("sid", "bucket").orderBy("key", F.col("doc_id").asc_nulls_first(), "tie").rowsBetween(Window.unboundedPreceding, 0)
-    out = [*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep) if c != "doc_id"), "doc_id", "size", "source_size", "target"]
+    out = [*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)), "doc_id", "size", "source_size", "target"]
     at_edge = rows.where("bucket = edge").withColumn("upto", F.col("before") + F.sum("size").over(running))
     half = F.col("upto") - F.col("size") / 2 <= F.col("rest")
     cut_rows = at_edge.select(*out, (F.col("size") * (F.col("epochs") + F.when(half, 1).otherwise(0))).cast("long").alias("taken"))
