@@ -11,11 +11,13 @@ log P(l | row) = text likelihood + declared markup language + address suffix + h
   level is smoothed towards the next one with ``prior_rows`` pseudo rows, and a row's own
   share is taken out of its host's, domain's and suffix's sums, so that no row counts twice.
 
-Aggregation is partial before the shuffle and a host's sums are one row, so that a host
-with a third of all rows is a skewed join that can be split, not one task's group.
+Aggregation is partial before the shuffle and a host's sums are one row, which is repeated for
+the parts that its rows are dealt into, so that a host or declared language with a third of
+all rows is not one task's group.
 
 Null or empty texts have no text evidence: such rows are decided by the rest.  A null address
-has no host: its prior is the overall one.  Ties go to the first language in order.
+has no host: its prior is the overall one.  Ties go to the first language in order.  A key
+column that has the name of a result column is given as key_<name>.
 """
 
 from __future__ import annotations
@@ -30,18 +32,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import LOWER, cut, slices, utf8
+from ._common import LOWER, cut, dealt, each_part, parts_of, slices, utf8
 
 BUCKETS = 1 << 15
-MAIN = re.compile(r"<(article|main)\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
-DROP = re.compile(r"<(script|style|noscript|template|nav|head)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+RESULT = ("lang", "posterior", "text_lang", "text_posterior", "declared", "suffix", "host")
+OPENS = {names: re.compile(rf"({names})\b", re.I) for names in ("article|main", "script|style|noscript|template|nav|head")}
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for names in OPENS for name in names.split("|")}
+INNER, WHOLE = OPENS
 
 
 def html_text(page: str | None) -> str:
-    """The words of a page's articles, or of all of it."""
+    """The words of a page's articles, or of all of it.  Time grows with the page's length: an end that
+    isn't there is looked for once."""
     page = page or ""
-    parts = [m.group(2) for m in MAIN.finditer(page)] or [page]
-    return html.unescape(" ".join(DROP.sub(" ", p) for p in parts))
+    parts = [page[a:b] for a, b in _main_parts(page)] or [page]
+    return html.unescape(" ".join(_without_tags(p) for p in parts))
+
+
+def _main_parts(page: str):
+    at, gone = 0, set()
+    while (i := page.find("<", at)) >= 0:
+        at = i + 1
+        m = OPENS[INNER].match(page, at)
+        if not m or (name := m.group(1).lower()) in gone:
+            continue
+        a = page.find(">", m.end())
+        end = ENDS[name].search(page, a + 1) if a >= 0 else None
+        if end:
+            yield a + 1, end.start()
+            at = end.end()
+        else:
+            gone.add(name)
+
+
+def _without_tags(page: str) -> str:
+    out, at, gone = [], 0, set()
+    while (i := page.find("<", at)) >= 0:
+        out.append(page[at:i])
+        m = OPENS[WHOLE].match(page, i + 1)
+        name = "!--" if page.startswith("!--", i + 1) else m.group(1).lower() if m else ""
+        stop = -1
+        if name and name not in gone:
+            if name == "!--":
+                stop = page.find("-->", i + 4) + 3 if page.find("-->", i + 4) >= 0 else -1
+            elif end := ENDS[name].search(page, m.end()):
+                stop = end.end()
+            if stop < 0:
+                gone.add(name)
+        if stop < 0 and ">" not in gone:
+            stop = page.find(">", i) + 1 or -1
+            if stop < 0:
+                gone.add(">")
+        out.append(" " if stop > 0 else "<")
+        at = stop if stop > 0 else i + 1
+    out.append(page[at:])
+    return "".join(out)
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +179,9 @@ def identify(rows: DataFrame, model: TextModel, *, tempered: float = 60.0, prior
     Gives the key columns and lang, posterior, text_lang, text_posterior, declared, suffix, host.
     """
     languages, n = model.languages, len(model.languages)
-    keys = [c for c in rows.columns if c not in ("text", "is_html", "declared", "suffix", "domain", "host")]
+    given = [c for c in rows.columns if c not in ("text", "is_html", "declared", "suffix", "domain", "host")]
+    keys = [f"key {i}" for i in range(len(given))]  # no name of a column made here has a space
+    rows = rows.withColumnsRenamed(dict(zip(given, keys)))
     seen = cut(text_evidence(rows, model, tempered), "evidence")
     # Keys of the four levels.  A null key becomes one of many that no sum has, so that rows without
     # a value meet nothing and do not meet in one task either.
@@ -142,19 +189,20 @@ def identify(rows: DataFrame, model: TextModel, *, tempered: float = 60.0, prior
     levels = {"declared": F.col("declared"), "suffix": F.col("suffix"), "domain": F.concat_ws("|", F.when(F.col("domain").isNotNull(), F.coalesce("suffix", F.lit(""))), "domain"), "host": F.col("host")}
     levels["domain"] = F.when(F.col("domain").isNotNull(), levels["domain"])
     own = softmax(F.col("text_log"))
-    seen = seen.withColumn("own", own).withColumns({f"k_{k}": F.coalesce(v, spread) for k, v in levels.items()})
+    seen = seen.withColumn("own", own).withColumn("part", dealt(spread)).withColumns({f"k_{k}": F.coalesce(v, spread) for k, v in levels.items()})
     ps = [f"p{k}" for k in range(n)]
 
     def sums(level: str) -> DataFrame:
-        rows = seen.where(~F.col(f"k_{level}").startswith(" ")).select(f"k_{level}", *(F.col("own")[k].alias(f"p{k}") for k in range(n)))
-        return rows.groupBy(f"k_{level}").agg(*(F.sum(c).alias(c) for c in ps)).select(f"k_{level}", F.array(*ps).alias(f"n_{level}"))
+        rows = seen.where(~F.col(f"k_{level}").startswith(" ")).select(f"k_{level}", "part", *(F.col("own")[k].alias(f"p{k}") for k in range(n)))
+        found = rows.groupBy(f"k_{level}").agg(*(F.sum(c).alias(c) for c in ps), parts_of("part").alias("parts"))
+        return found.select(f"k_{level}", each_part("parts").alias("part"), F.array(*ps).alias(f"n_{level}"))
 
     total = seen.agg(*(F.sum(F.col("own")[k]).alias(f"p{k}") for k in range(n))).first()
     overall = np.array([total[c] or 0.0 for c in ps]) + 1.0
     prior = overall / overall.sum()
     out = seen
     for level in levels:
-        out = out.join(sums(level), f"k_{level}", "left")
+        out = out.join(sums(level), [f"k_{level}", "part"], "left")
     zero = F.array(*[F.lit(0.0)] * n)
     less = lambda c: F.transform(F.coalesce(c, zero), lambda x, i: F.greatest(x - F.element_at("own", (i + 1).cast("int")), F.lit(0.0)))
 
@@ -175,7 +223,8 @@ def identify(rows: DataFrame, model: TextModel, *, tempered: float = 60.0, prior
     post = softmax(F.col("fused"))
     names = F.array(*(F.lit(x) for x in languages))
     best = lambda c: F.element_at(names, F.array_position(c, F.array_max(c)).cast("int"))
-    return out.select(*keys, best(F.col("fused")).alias("lang"), F.array_max(post).alias("posterior"), best(F.col("text_log")).alias("text_lang"), F.array_max("own").alias("text_posterior"), "declared", "suffix", "host")
+    named = [F.col(k).alias(f"key_{c}" if c.lower() in RESULT else c) for k, c in zip(keys, given)]
+    return out.select(*named, best(F.col("fused")).alias("lang"), F.array_max(post).alias("posterior"), best(F.col("text_log")).alias("text_lang"), F.array_max("own").alias("text_posterior"), "declared", "suffix", "host")
 
 
 def page_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -183,13 +232,13 @@ def page_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
     host = F.when(host != "", host)
     page = F.col(html_col).cast("string")
-    said = F.regexp_extract(page, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1)
+    said = F.regexp_extract(page, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", 1)
     meta = F.regexp_extract(page, r"(?i)content-language[\"']?\s+content\s*=\s*[\"']?([A-Za-z]{2,3})", 1)
     declared = F.lower(F.when(said != "", said).when(meta != "", meta))
-    suffix = F.regexp_extract(host, r"\.([^.]+)$", 1)
+    suffix, domain = F.regexp_extract(host, r"\.([^.]+)$", 1), F.regexp_extract(host, r"(?:^|\.)([^.]+\.[^.]+)$", 1)
     return pages.select(
         F.col(id_col).cast("long").alias("page_id"), page.alias("text"), F.lit(True).alias("is_html"), declared.alias("declared"),
-        F.when(suffix != "", suffix).alias("suffix"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"), host.alias("host"),
+        F.when(suffix != "", suffix).alias("suffix"), F.when(domain != "", domain).alias("domain"), host.alias("host"),
     )
 
 
