@@ -7,10 +7,11 @@ one automaton.  Each document is normalised the same way and scanned once; match
 mapped to word numbers and, through the words' byte offsets, to the original text.
 
 Bound of the broadcast: the windows are shipped to the executors only up to
-``most_chars`` characters in all; a larger benchmark is cut by item hash into as many
-shards, each with its own automaton and scan, and the hits are merged per document (by
-word number, so that a word hit in two shards counts once).  Documents stay where they are:
-there is no shuffle with one shard.
+``most_chars`` characters in all; a larger benchmark is cut by window hash into as many
+shards, each with its own automaton and scan, one after the other over each batch of rows,
+and the hits are merged per document (by word number, so that a word hit in two shards counts
+once).  Documents stay where they are: there is no shuffle.  A Python worker builds an
+automaton once and keeps it for its next tasks (two at most; about 45 bytes a character).
 
 Null and empty texts have no words; items without words have no window; repeated items
 and repeated documents are treated row by row; items with equal windows all count.  Items
@@ -20,7 +21,7 @@ whose id is null hit like others and are together one item without a name: a nul
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -52,52 +53,76 @@ def automaton(patterns: list[tuple[str, list[str]]]):
     return found
 
 
-RAW = "row_doc long, n_words long, hit_from array<long>, hit_to array<long>, byte_from array<long>, byte_to array<long>, items array<string>"
+MACHINES: dict[str, object] = {}
 
 
-def scanner(shipped):
+def machine_of(name: str, shipped):
+    """The automaton of a shard, built once in a worker process."""
+    if name not in MACHINES:
+        while len(MACHINES) > 1:
+            del MACHINES[next(iter(MACHINES))]
+        MACHINES[name] = automaton(shipped.value)
+    return MACHINES[name]
+
+
+SPANS = "hit_from array<long>, hit_to array<long>, byte_from array<long>, byte_to array<long>, items array<string>"
+NAMES = ["doc_id", "text", "n_words", "hit_from", "hit_to", "byte_from", "byte_to", "items"]
+
+
+def scanner(name: str, shipped, first: bool, last: bool):
+    """One shard's scan: its hits beside those of the shards before it (none for the first one, whose input is
+    doc_id and text); the last one lets go of the texts."""
+
     def scan(batches):
         patterns = shipped.value
-        machine = automaton(patterns)
+        machine = machine_of(name, shipped)
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             raw = data.tobytes()
             spans, counts, items = [], [], []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
                 words = raw[a:b].translate(NORMAL).split()
                 counts.append(len(words))
                 hits = []
                 if words and patterns:
                     text = f" {b' '.join(words).decode()} "
                     hits = list(machine.iter(text))
+                if first:
+                    before, ids = [], []
+                else:
+                    before = list(zip(batch.column(3)[row].as_py(), batch.column(4)[row].as_py()))
+                    ids = batch.column(7)[row].as_py()
                 if not hits:
-                    spans.append(([], [], [], []))
-                    items.append([])
+                    spans.append(([], [], [], []) if first else tuple(batch.column(k)[row].as_py() for k in (3, 4, 5, 6)))
+                    items.append(ids)
                     continue
                 # A match ends at the space after its last word: spaces before it number the word.
                 codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
                 spaces = np.cumsum(codes == 32)
-                last = np.array([spaces[end] for end, _ in hits]) - 1
+                stop = np.array([spaces[end] for end, _ in hits]) - 1
                 size = np.array([n for _, (_, n) in hits])
-                order = np.unique(np.stack([last - size, last], axis=1), axis=0)
-                first, stop, _ = word_bounds(data[a:b], np.array([0, b - a]), GAP)
-                merged = []
-                for x, y in order.tolist():
-                    if merged and x <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], y)
-                    else:
-                        merged.append([x, y])
-                spans.append(([m[0] for m in merged], [m[1] for m in merged], [int(first[m[0]]) for m in merged], [int(stop[m[1] - 1]) for m in merged]))
-                items.append(sorted({x for i in {i for _, (i, _) in hits} for x in patterns[i][1]}, key=lambda x: (x is not None, x or "")))
+                begin, end, _ = word_bounds(data[a:b], np.array([0, b - a]), GAP)
+                merged = joined([*zip((stop - size).tolist(), stop.tolist()), *before])
+                spans.append(([x for x, _ in merged], [y for _, y in merged], [int(begin[x]) for x, _ in merged], [int(end[y - 1]) for _, y in merged]))
+                items.append(sorted({x for i in {i for _, (i, _) in hits} for x in patterns[i][1]} | set(ids), key=lambda x: (x is not None, x or "")))
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), *(pa.array([s[k] for s in spans], longs) for k in range(4)), pa.array(items, pa.list_(pa.string()))],
-                ["row_doc", "n_words", "hit_from", "hit_to", "byte_from", "byte_to", "items"],
-            )
+            columns = [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(counts, pa.int64()), *(pa.array([s[k] for s in spans], longs) for k in range(4)), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(*(([c for i, c in enumerate(x) if i != 1] if last else x) for x in (columns, NAMES)))
 
     return scan
 
 
+def joined(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Overlapping or adjoining spans as one, in order."""
+    out: list[list[int]] = []
+    for x, y in sorted(set(spans)):
+        if out and x <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], y)
+        else:
+            out.append([x, y])
+    return out
+
+
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(window, items): distinct windows with the ids of their items, as strings; a null id is kept as one."""
 
@@ -123,13 +148,13 @@ def shipped_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int
     return out
 
 
-def without_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, width: int = 10, most_chars: int = 20_000_000) -> DataFrame:
+def without_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, width: int = 10, most_chars: int = 4_000_000) -> DataFrame:
     """The rows of ``docs``, unchanged, in which no window occurs; one pass per shard, no shuffle."""
     at = docs.columns.index(text_col)
 
-    def sieve(shipped):
+    def sieve(name, shipped):
         def run(batches):
-            machine = automaton(shipped.value)
+            machine = machine_of(name, shipped)
             for batch in batches:
                 data, offsets = utf8(batch.column(at))
                 raw, keep = data.tobytes(), []
@@ -141,7 +166,7 @@ def without_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return run
 
     for shipped in shipped_windows(benchmark, item_col, item_text_col, width, most_chars):
-        docs = docs.mapInArrow(sieve(shipped), docs.schema)
+        docs = docs.mapInArrow(sieve(uuid.uuid4().hex, shipped), docs.schema)
     return docs
 
 
@@ -154,38 +179,17 @@ def decontaminate(
     item_text_col: str = "text",
     *,
     width: int = 10,
-    most_chars: int = 20_000_000,
+    most_chars: int = 4_000_000,
 ) -> DataFrame:
     """For every row: doc_id, n_words, n_hit, items (sorted ids), spans (array of
     word_from, word_to, byte_from, byte_to of the original text; ends exclusive; disjoint)."""
     shards = shipped_windows(benchmark, item_col, item_text_col, width, most_chars)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    if len(shards) > 1:
-        texts = texts.withColumn("row_doc", F.monotonically_increasing_id())
-    parts = []
-    for shipped in shards:
-        key = "doc_id" if len(shards) == 1 else "row_doc"
-        parts.append(texts.select(key, "text").mapInArrow(scanner(shipped), RAW))
-    span = F.arrays_zip(F.col("hit_from").alias("word_from"), F.col("hit_to").alias("word_to"), "byte_from", "byte_to")
-    if len(shards) == 1:
-        one = parts[0].withColumnRenamed("row_doc", "doc_id").withColumn("spans", span)
-    else:
-        # The same word may be hit in two shards: spans of a document are merged in order.
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionAll(p)
-        merged = every.withColumn("spans", span).groupBy("row_doc").agg(
-            F.max("n_words").alias("n_words"),
-            F.array_sort(F.flatten(F.collect_list("spans"))).alias("every"),
-            F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        )
-        join = F.expr(
-            "aggregate(every, cast(array() as array<struct<word_from:bigint,word_to:bigint,byte_from:bigint,byte_to:bigint>>), (done, s) -> "
-            "if(size(done) > 0 and s.word_from <= element_at(done, -1).word_to, concat(slice(done, 1, size(done) - 1), array(named_struct("
-            "'word_from', element_at(done, -1).word_from, 'word_to', greatest(element_at(done, -1).word_to, s.word_to), "
-            "'byte_from', element_at(done, -1).byte_from, 'byte_to', greatest(element_at(done, -1).byte_to, s.byte_to)))), concat(done, array(s))))"
-        )
-        one = merged.withColumn("spans", join).join(texts.select("row_doc", "doc_id"), "row_doc")
+    one = texts
+    for k, shipped in enumerate(shards):
+        last = k == len(shards) - 1
+        one = one.mapInArrow(scanner(uuid.uuid4().hex, shipped, k == 0, last), ("doc_id long, n_words long, " if last else "doc_id long, text string, n_words long, ") + SPANS)
+    one = one.withColumn("spans", F.arrays_zip(F.col("hit_from").alias("word_from"), F.col("hit_to").alias("word_to"), "byte_from", "byte_to"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["word_to"] - s["word_from"])
     return one.select("doc_id", "n_words", hit.alias("n_hit"), "items", "spans")
 
