@@ -4,30 +4,34 @@ A word's spelling probability sums over all segmentations into the vocabulary's
 a forward recursion in log space over UTF-8 bytes.  The first piece comes from the pieces
 that open a word, the others from the pieces inside words and a stop; both distributions
 sum to 1, and single bytes are always possible, so that every word has a probability.
-Piece weights start from the vocabulary's own scores (a score of -r, the rank, weighs
-1 / (r + 2)) and are re-estimated by ``em_rounds`` rounds of expected counts over all
-distinct training words, with the starting weights as a prior.  The vocabulary itself is
-never changed.
+The vocabulary's own scores weight the pieces (a score of -r, the rank, weighs 1 / (r + 2)).
+Learning changes neither the pieces nor those scores: a piece's weight is ``score_weight``
+times the vocabulary's plus the rest times the piece's expected share in the segmentations
+of all distinct training words (``em_rounds`` rounds).
 
 A whole word is one more arc of the lattice: with c training occurrences among N tokens it
 weighs (c - d(c)) / N, d(1), d(2), d(3+) the modified Kneser-Ney discounts of the counts'
 counts; what is taken off all words goes to spelling.  The end of a text is a token of its
-own.  So the probabilities of all tokens sum to at most 1.
+own.  A text's words are drawn from an urn: ``urn`` balls of these probabilities, and one
+more ball of a word each time it is drawn, so that p(w, n times) is the product of
+(urn * p(w) + j), j < n, over that of (urn + i), i from 0 to the text's words.  The
+probabilities of all texts' continuations sum to at most 1.
 
-All of this is done for each of at most ``most_classes`` classes of training texts (their
-most frequent languages; the others are one class), and a text's probability is the
-classes' mixture, with their shares of training texts as weights: the language of a text to
-be scored is no input.
+All of this is done for each class of training texts (their languages; texts without one are
+a class), and a text's probability is the classes' mixture, with their shares of training
+texts as weights: the language of a text to be scored is no input.  Costs grow in proportion
+to the number of classes.
 
 Scale: distinct words are counted with partial aggregation and scored once each.  The
 ``hot_words`` most frequent ones (a bound on the broadcast, by a histogram of counts)
 are scored where the texts are; other words of each text are joined with the table of
-words, so that no frequent word makes a hot key.
+words, so that no frequent word makes a hot key.  Words of over ``LONG`` bytes are spelled in
+blocks (the same sums, in linear time and bounded memory); they teach spelling in parts of
+``LONG`` bytes.
 
 Null and empty texts are one token, the end.  Rows are scored one by one, so repeated rows
-get equal scores.  A null doc_id is a training row, a null language is in the class of
-others.  Without training rows N is 0: base is computed with N = V = 0, and one class
-spells with the prior alone.
+get equal scores.  A null doc_id is a training row.  Without training rows N is 0: base is
+computed with N = V = 0, and one class spells with the vocabulary's scores alone.
 """
 
 from __future__ import annotations
@@ -93,6 +97,17 @@ class Pieces:
         return out
 
 
+def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of the bytes' polynomial, and what takes a run's sum to its start."""
+    sums = np.zeros(len(data) + 1, U64)
+    np.cumsum((data.astype(U64) + U64(1)) * powers(BASE, max(len(data) - 1, 0))[: len(data)], dtype=U64, out=sums[1:])
+    return sums, powers(BASE_INVERSE, len(data))
+
+
+def _hashed(run: np.ndarray) -> np.ndarray:
+    return _sums(run)[0][-1:]
+
+
 def find(keys: np.ndarray, table) -> np.ndarray:
     known, ids = table
     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
@@ -108,9 +123,7 @@ class Words:
         self.size = size = size[self.order]
         self.first = first = offsets[:-1][self.order]
         self.longest = int(size[0]) if len(size) else 0
-        sums = np.zeros(len(data) + 1, U64)
-        np.cumsum((data.astype(U64) + U64(1)) * powers(BASE, max(len(data) - 1, 0))[: len(data)], dtype=U64, out=sums[1:])
-        back = powers(BASE_INVERSE, len(data))
+        sums, back = _sums(data)
         end = np.repeat(offsets[1:], np.diff(offsets))  # of each byte's word
         self.opening, self.inside = {}, {}
         for m, table in by[1].items():
@@ -136,15 +149,63 @@ def log_sum(stack: np.ndarray) -> np.ndarray:
         return top + np.log(np.exp(stack - top).sum(axis=0))
 
 
+LONG = 256  # bytes
+
+
 class Lattice:
     def __init__(self, pieces: Pieces):
         self.names, self.by = pieces.names, pieces.tables()
         self.stop = pieces.names[1].index(b"\n")
         self.open = pieces.names[0].index(b"")
+        self.reach = max(self.by[1])  # bytes of the longest piece
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> Words:
         return Words(self.by, data, offsets)
 
+    def spelled(self, data: np.ndarray, offsets: np.ndarray, weights: list[list[np.ndarray]]) -> list[np.ndarray]:
+        """For each model's weights: ln of each word's probability, words of any length."""
+        size = np.diff(offsets)
+        out = [np.empty(len(size)) for _ in weights]
+        short, long = np.flatnonzero(size <= LONG), np.flatnonzero(size > LONG)
+        if len(long):
+            data_s, offsets_s = data[np.repeat(size <= LONG, size)], np.append(0, np.cumsum(size[short]))
+        else:
+            data_s, offsets_s = data, offsets
+        words = self.words(data_s, offsets_s)
+        for own, x in zip(weights, out):
+            x[short] = self.run(words, own)
+            for i in long.tolist():
+                x[i] = self.long_word(data[offsets[i] : offsets[i + 1]], own)
+        return out
+
+    def long_word(self, word: np.ndarray, weights: list[np.ndarray], block: int = 1 << 14) -> float:
+        """ln of one word's probability: the recursion over the arcs by their ends, rescaled on the way."""
+        tiny, huge = 1e-120, 1e120
+        alpha, scaled, unit = {0: float(weights[0][self.open])}, 0, 1.0
+        opened = {m: float(weights[0][i]) for m, table in self.by[0].items() if (i := int(find(_hashed(word[:m]), table)[0])) >= 0 and m <= len(word)}
+        for a in range(0, len(word), block):
+            b, lo = min(a + block, len(word)), max(0, a - self.reach)
+            part = word[lo:b]
+            sums, back = _sums(part)
+            arcs: list[list[tuple[int, float]]] = [[] for _ in range(b - a)]
+            for m, table in self.by[1].items():
+                if m <= len(part):
+                    at = np.arange(max(0, a - lo - m + 1), len(part) - m + 1)
+                    own = find((sums[at + m] - sums[at]) * back[at], table)
+                    ok = own >= 0
+                    for i, p in zip((at[ok] + lo).tolist(), weights[1][own[ok]].tolist()):
+                        arcs[i + m - a - 1].append((i, p))
+            for j, own in enumerate(arcs, a + 1):
+                total = opened.get(j, 0.0) * unit
+                for i, p in own:
+                    total += alpha[i] * p
+                alpha[j] = total
+                alpha.pop(j - self.reach, None)
+                if total < tiny:
+                    alpha = {i: x * huge for i, x in alpha.items()}
+                    scaled, unit = scaled + 1, unit * huge if unit < 1e180 else unit
+        return math.log(alpha[len(word)]) - scaled * math.log(huge) + math.log(weights[1][self.stop])
+
     def run(self, w: Words, weights: list[np.ndarray], counts: list[np.ndarray] | None = None) -> np.ndarray:
         """ln of each word's probability; adds expected piece counts to ``counts``."""
         log = [np.append(np.log(x), -np.inf) for x in weights]
@@ -246,6 +307,8 @@ def expected(shipped):
                 at = np.flatnonzero(batch.column(1 + k).to_numpy(zero_copy_only=False))
                 if len(at):
                     data, offsets = utf8_binary(batch.column(0).take(pa.array(at)))
+                    if len(offsets) > 1 and np.diff(offsets).max() > LONG:
+                        offsets = np.unique(np.concatenate([offsets, *(np.arange(x, y, LONG) for x, y in zip(offsets[:-1], offsets[1:]) if y - x > LONG)]))
                     for a, b in slices(offsets, SLICE):
                         lattice.run(lattice.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), own, counts[k])
         for k, both in enumerate(counts):
@@ -293,9 +356,8 @@ def spelled(shipped, n_tokens: int, n_types: int):
             counts = [batch.column(2 + k).to_numpy(zero_copy_only=False) for k in range(len(classes))]
             scores: list[list[np.ndarray]] = [[] for _ in classes]
             for a, b in slices(offsets, SLICE):
-                words = lattice.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                for k, own in enumerate(classes):
-                    scores[k].append(own.log_words(counts[k][a:b], lattice.run(words, weights[k])))
+                for k, ln in enumerate(lattice.spelled(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], weights)):
+                    scores[k].append(classes[k].log_words(counts[k][a:b], ln))
             c = sum(counts)
             base = np.log10((c + 1) / (n_tokens + n_types + 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(c), pa.array(base), *(pa.array(np.concatenate(x) if x else np.zeros(0)) for x in scores)], ["word", "seen", "trained", "base", *(f"s{k}" for k in range(len(classes)))])
@@ -303,50 +365,63 @@ def spelled(shipped, n_tokens: int, n_types: int):
     return run
 
 
-def split_texts(shipped, ends: list[float], known_end: bool):
-    """Per text one row with what the frequent words give, and one for each other word.
+def log_draws(urn: float, n: int) -> float:
+    """log10 of the product of urn + i, i < n."""
+    return (math.lgamma(urn + n) - math.lgamma(urn)) / math.log(10)
+
+
+def split_texts(shipped, ends: list[float], known_end: bool, urn: float):
+    """Per text one row with its id and what the frequent words give, and one for each other word.
     ends: base and the classes' scores of the end."""
 
     def run(batches):
-        hot, c, values = shipped.value
+        hot, c, base, scores = shipped.value
         hot = pa.array(hot, pa.large_binary())
-        values = [np.append(x, 0) for x in ((c > 0).astype(float), *values)]
+        known, balls = (c > 0).astype(np.int64), [urn * 10**x for x in scores]
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(2))
             row_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in slices(offsets, 1 << 22):
+            for a, b in slices(offsets, 1 << 21):
                 words, first = tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 coded = words.dictionary_encode()
-                index = coded.indices.to_numpy(zero_copy_only=False)
-                at = pc.index_in(coded.dictionary, value_set=hot).fill_null(-1).to_numpy(zero_copy_only=False)
-                spot = at[index]
-                text = np.repeat(np.arange(b - a), np.diff(first))
-                sums = [np.bincount(text, x[spot], b - a) for x in values]
-                rare = np.flatnonzero(spot < 0)
-                n_words = max(len(coded.dictionary), 1)
-                pairs, times = np.unique(text[rare] * n_words + index[rare], return_counts=True)
+                spot = pc.index_in(coded.dictionary, value_set=hot).fill_null(-1).to_numpy(zero_copy_only=False)
+                n_words, n = max(len(coded.dictionary), 1), b - a
+                pairs, times = np.unique(np.repeat(np.arange(n), np.diff(first)) * n_words + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+                text, word = pairs // n_words, pairs % n_words
+                at, rare = spot[word], spot[word] < 0
+                # Draws of frequent words: the first of each, then the others by their number.
+                own, where, each = text[~rare], at[~rare], times[~rare]
+                sums = [np.bincount(own, known[where] * each, n), np.bincount(own, base[where] * each, n)]
+                more = each > 1
+                again = np.repeat(np.flatnonzero(more), each[more] - 1)
+                number = np.arange(len(again)) - np.repeat(np.cumsum(each[more] - 1) - (each[more] - 1), each[more] - 1) + 1
+                for x, ball in zip(scores, balls):
+                    drawn = np.bincount(own, x[where] + math.log10(urn), n)
+                    sums.append(drawn + np.bincount(own[again], np.log10(ball[where[again]] + number), n))
+                below = np.array([log_draws(urn, k) for k in np.diff(first).tolist()])
                 # A key with a space is no word: a text's own row meets nothing in the join.
                 keys = pa.array([b" %d" % r for r in row_ids[a:b].tolist()], pa.binary())
-                rows = pa.concat_arrays([keys, coded.dictionary.take(pa.array(pairs % n_words)).cast(pa.binary())])
-                ids = np.concatenate([row_ids[a:b], row_ids[a + pairs // n_words]])
-                z = np.zeros(len(pairs))
-                longs = [np.concatenate([np.zeros(b - a), times]), np.concatenate([np.diff(first) + 1, z]), np.concatenate([sums[0] + known_end, z])]
-                doubles = [np.concatenate([x + e, z]) for x, e in zip(sums[1:], ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), rows, *(pa.array(x.astype(np.int64)) for x in longs), *(pa.array(x) for x in doubles)], ["row", "word", "times", "n_tokens", "n_known", "base_0", *(f"s{k}_0" for k in range(len(doubles) - 1))])
+                rows = pa.concat_arrays([keys, coded.dictionary.take(pa.array(word[rare])).cast(pa.binary())])
+                ids = np.concatenate([row_ids[a:b], row_ids[a + text[rare]]])
+                z = np.zeros(int(rare.sum()))
+                docs = pa.concat_arrays([batch.column(1)[a:b], pa.nulls(len(z), pa.int64())])
+                longs = [np.concatenate([np.zeros(n), times[rare]]), np.concatenate([np.diff(first) + 1, z]), np.concatenate([sums[0] + known_end, z])]
+                doubles = [np.concatenate([sums[1] + ends[0], z]), *(np.concatenate([x + e - below, z]) for x, e in zip(sums[2:], ends[1:]))]
+                names = ["row", "doc_id", "word", "times", "n_tokens", "n_known", "base_0", *(f"s{k}_0" for k in range(len(doubles) - 1))]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), docs, rows, *(pa.array(x.astype(np.int64)) for x in longs), *(pa.array(x) for x in doubles)], names)
 
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", *, tokenizer: str = TOKENIZER, em_rounds: int = 2, most_classes: int = 6, hot_words: int = 150_000, prior_weight: float = 200.0) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", *, tokenizer: str = TOKENIZER, em_rounds: int = 2, score_weight: float = 0.05, urn: float = 3000.0, hot_words: int = 150_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     spark = docs.sparkSession
     kind = F.col(class_col).cast("string") if class_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), kind.alias("kind"))
     top = rows.where(~held_out(F.col("doc_id"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-    top = top.where("kind is not null").orderBy(F.desc("n"), "kind").limit(most_classes - 1).collect()
-    number = F.lit(len(top))  # of the class of others
-    for k, r in enumerate(top):
-        number = F.when(F.col("kind") == r.kind, F.lit(k)).otherwise(number)
+    top = top.where("kind is not null").orderBy(F.desc("n"), "kind").collect()
+    named = F.create_map(*(x for k, r in enumerate(top) for x in (F.lit(r.kind), F.lit(k)))) if top else F.lit(None).cast("map<string,int>")
+    number = F.coalesce(named[F.coalesce("kind", F.lit(""))], F.lit(len(top)))  # the last is of texts without a language
     number = F.when(held_out(F.col("doc_id")), F.lit(-1)).otherwise(number).cast("int")
     rows = rows.select("doc_id", "text", number.alias("class"))
     texts = {r["class"]: r.n for r in rows.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -369,10 +444,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class
     for _ in range(em_rounds):
         shipped = spark.sparkContext.broadcast((pieces, weights))
         got = words.where(trained > 0).select("word", *cs).mapInArrow(expected(shipped), "k int, piece long, n double").groupBy("k", "piece").agg(F.sum("n").alias("n")).collect()
-        counts = [np.concatenate([p * prior_weight for p in pieces.prior]) for _ in classes]
+        counts = [np.zeros(sum(map(len, pieces.prior))) for _ in classes]
         for r in got:
             counts[r.k][r.piece] += r.n
-        weights = [[p / p.sum() for p in np.split(c, [len(pieces.prior[0])])] for c in counts]
+        shares = [np.split(c, [len(pieces.prior[0])]) for c in counts]
+        weights = [[score_weight * q + (1 - score_weight) * (p / p.sum() if p.sum() else q) for p, q in zip(own, pieces.prior)] for own in shares]
     shipped = spark.sparkContext.broadcast((pieces, weights, classes))
     ss = [f"s{k}" for k in range(n_classes)]
     scored = words.mapInArrow(spelled(shipped, n_tokens, n_types), ", ".join(["word binary", "seen long", "trained long", "base double", *(f"{x} double" for x in ss)]))
@@ -389,25 +465,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class
         least = r.k
     hot = scored.where((F.length("word") <= 64) & (bucket >= least)).select("word", "trained", "base", *ss).toArrow() if least is not None else None
     columns = [hot.column(i).combine_chunks().to_numpy(zero_copy_only=False) for i in range(1, 3 + n_classes)] if hot is not None else [np.zeros(0)] * (2 + n_classes)
-    shipped = spark.sparkContext.broadcast((hot.column(0).to_pylist() if hot is not None else [], columns[0], columns[1:]))
+    shipped = spark.sparkContext.broadcast((hot.column(0).to_pylist() if hot is not None else [], columns[0], columns[1], columns[2:]))
     at_end = [math.log10((ends + 1) / (n_tokens + n_types + 1)), *(c.log_end() for c in classes)]
 
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    schema = ["row long", "word binary", "times long", "n_tokens long", "n_known long", "base_0 double", *(f"{x}_0 double" for x in ss)]
-    parts = numbered.select("row", "text").mapInArrow(split_texts(shipped, at_end, ends > 0), ", ".join(schema))
+    schema = ["row long", "doc_id long", "word binary", "times long", "n_tokens long", "n_known long", "base_0 double", *(f"{x}_0 double" for x in ss)]
+    # A text's rows are all made by one task, its id among them: nothing is matched by the number later on.
+    texts_of = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    parts = texts_of.mapInArrow(split_texts(shipped, at_end, ends > 0, urn), ", ".join(schema))
     joined = parts.join(scored.select("word", "trained", "base", *ss), "word", "left")
     times = F.col("times")
-    plus = lambda c: F.sum(F.col(f"{c}_0") + times * F.coalesce(c, F.lit(0.0)))
+
+    def draws(x: str) -> Column:
+        """As for frequent words, log10 of the product of urn * p + j, j < times."""
+        ball = F.lit(urn) * F.pow(F.lit(10.0), F.col(x))
+        again = F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(times - 1, F.lit(1))), F.lit(0.0), lambda a, j: a + F.log10(ball + j))
+        return F.when(F.col(x).isNull(), 0.0).otherwise(F.col(x) + math.log10(urn) + F.when(times > 1, again).otherwise(0.0))
+
     sums = joined.groupBy("row").agg(
         F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(F.col("trained") > 0, times).otherwise(0)).alias("n_known"),
-        plus("base").alias("base_score"),
-        *(plus(x).alias(x) for x in ss),
+        F.max("doc_id").alias("doc_id"),
+        F.sum(F.col("base_0") + times * F.coalesce("base", F.lit(0.0))).alias("base_score"),
+        *(F.sum(F.col(f"{x}_0") + draws(x)).alias(x) for x in ss),
     )
     # log10 of the mixture, from the largest part.
     parts = [F.col(x) + math.log10(max(c.texts, 0.5) / max(ends, 1)) for x, c in zip(ss, classes)]
     top_part = F.greatest(*parts) if n_classes > 1 else parts[0]
     total = top_part + F.log10(sum((F.pow(F.lit(10.0), p - top_part) for p in parts[1:]), F.pow(F.lit(10.0), parts[0] - top_part)))
-    ids = numbered.select("row", "doc_id")
-    out = sums.join(ids, "row")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", total.alias("score"))
+    return sums.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", total.alias("score"))
