@@ -10,7 +10,7 @@ against brute-force versions.
 Near-duplicates are documents with a similarity of 0.80 or more (5-word shingles); the 0.85 of op10 is that
 query's own.
 
-Null texts pass the filters (they hold no words).  Near-duplicates are decided by row: repeated or null
+Null and empty texts pass the filters (they hold no words).  Near-duplicates are decided by row: repeated or null
 doc_ids change nothing but which row of a group stays.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagframe.llm import decontaminate, mixing, near_dup, secrets, toxicity
-from tagframe.llm._common import cut, table
+from tagframe.llm._common import cut, scratch, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,5 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:  # a stage's own tables go once its result is written
+            docs = keep(cut(stage(spark, docs, sf_dir), name))
     return docs
