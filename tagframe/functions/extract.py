@@ -253,8 +253,9 @@ def rejected_atom(value: Column, text: Column, dotted: Column, card: Column) ->
 
 
 def time_bonus(ms: Column, selected: Column) -> Column:
-    """struct(bonus, diff): steps of the distance to the selected time; 0 and 10^9 if unknown."""
-    diff = F.abs(F.floor(ms.try_cast("double")) - F.floor(selected.try_cast("double")))
+    """struct(bonus, diff): steps of the distance to the selected time; a missing time reads as 0."""
+    whole = lambda c: F.coalesce(F.floor(c.try_cast("double")), F.lit(0))
+    diff = F.abs(whole(ms) - whole(selected))
     bonus = F.when(diff <= 250, 0.36).when(diff <= 500, 0.25).when(diff <= 1000, 0.05).when(diff <= 2000, -0.22).when(diff <= 4000, -0.48).when(diff.isNotNull(), -0.85)
     return F.struct(F.coalesce(bonus, F.lit(0.0)).alias("bonus"), F.coalesce(diff, F.lit(10**9)).alias("diff"))
 

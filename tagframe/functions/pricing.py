@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .binding import let
-
-ENDINGS = tuple(range(9, 100, 10))
 COMMON_CENTS = (9, 19, 26, 29, 39, 42, 49, 59, 69, 73, 79, 89, 90, 94, 95, 99)
 HALF_POINT = 0.5  # shown percentages are floored; this is the middle of what is cut off
 
@@ -16,16 +13,16 @@ def shelf(v: Column) -> Column:
     return F.greatest(F.lit(0.0), F.floor(v) + 0.99)
 
 
-def closest(v: Column, endings: tuple[int, ...] = ENDINGS) -> Column:
-    """The nearest price with one of the endings in the next lower, same or next higher integer; the lower on ties."""
-    return let(v, lambda x: _closest(x, endings))
+def closest(v: Column) -> Column:
+    """The nearest price whose cents end in 9, in the next lower, same or next higher integer; the lower on ties."""
+    k = F.floor((v + 0.01) * 10)  # prices end in k/10 - 0.01
+    below, above = _ninth(F.greatest(k, F.lit(1))), _ninth(F.greatest(k + 1, F.lit(1)))
+    return F.when(F.abs(below - v) <= F.abs(above - v), below).otherwise(above)
 
 
-def _closest(v: Column, endings: tuple[int, ...]) -> Column:
-    base = F.floor(v)
-    wholes = F.sequence(F.greatest(F.lit(0).cast("long"), base - 1), base + 1)
-    prices = F.flatten(F.transform(wholes, lambda w: F.array(*(w + e / 100.0 for e in endings))))
-    return F.array_min(F.transform(prices, lambda p: F.struct(F.abs(p - v).alias("d"), p.alias("p"))))["p"]
+def _ninth(k: Column) -> Column:
+    n = k * 10 - 1
+    return (n - n % 100) / 100 + (n % 100) / 100.0
 
 
 def cents(v: Column) -> Column:
@@ -34,10 +31,6 @@ def cents(v: Column) -> Column:
 
 def regular(v: Column, dotted: Column) -> Column:
     """Without written cents, or with 00, the shelf price; cents that end in 9 stay; else the closest."""
-    return let(v, lambda x: _regular(x, dotted))
-
-
-def _regular(v: Column, dotted: Column) -> Column:
     c = cents(v)
     return F.when(~dotted | (c == 0), shelf(v)).when(c % 10 == 9, v).otherwise(closest(v))
 

@@ -16,16 +16,20 @@ CANDIDATE = ["video_id", "track_id", "field", "value", "score", "confidence", "v
 
 
 def _support(atoms: DataFrame, by: list[str], bonus: Column) -> DataFrame:
-    """Best atom of the best value.  Atoms: value, atom_score, close, marker, ordinal, atom.
+    """Best atom of the best value.  Atoms: value, atom_score, close, marker, ordinal, atom, score.
 
-    Support is counted in a window, so that atoms are computed once and not joined with themselves.
+    First each value's support and best atom, then the best value: both are grouped maxima, which are
+    summed up before the shuffle.
     """
-    w = Window.partitionBy(*by, "value")
-    rows = atoms.withColumn("top", F.max("atom_score").over(w)).withColumn("n", F.count(F.lit(1)).over(w)).withColumn("times", F.size(F.collect_set("timestamp_ms").over(w)))
-    rows = rows.withColumn("near_n", F.sum(F.col("close").cast("int")).over(w)).withColumn("marks", F.sum(F.col("marker").cast("int")).over(w)).withColumn("seen", F.min(F.struct("ordinal", "atom")).over(w))
-    rows = rows.withColumn("value_score", bonus)
-    best = ["value_score", -F.col("seen.ordinal"), -F.col("seen.atom"), "atom_score", -F.col("ordinal"), -F.col("atom")]
-    return elect(rows, by, best, [c for c in ("value", "value_score", "n", "score", "atom_score", "ordinal") if c not in by]).withColumnRenamed("n", "support")
+    pick = F.max(F.struct("atom_score", (-F.col("ordinal")).alias("o"), (-F.col("atom")).alias("a"), "score")).alias("pick")
+    count = lambda c: F.sum(F.col(c).cast("int"))
+    values = atoms.groupBy(*by, "value").agg(
+        pick, F.max("atom_score").alias("top"), F.count(F.lit(1)).alias("n"), F.size(F.collect_set("timestamp_ms")).alias("times"),
+        count("close").alias("near_n"), count("marker").alias("marks"), F.min(F.struct("ordinal", "atom")).alias("seen"),
+    )
+    values = values.withColumn("value_score", bonus).withColumns({"score": F.col("pick.score"), "atom_score": F.col("pick.atom_score"), "ordinal": -F.col("pick.o")})
+    keep = [c for c in ("value", "value_score", "n", "score", "atom_score", "ordinal") if c not in by]
+    return elect(values, by, ["value_score", -F.col("seen.ordinal"), -F.col("seen.atom")], keep).withColumnRenamed("n", "support")
 
 
 def consensus_price(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -40,7 +44,7 @@ def consensus_price(rows: DataFrame, by: list[str]) -> DataFrame:
     seen = F.transform(extract.price_atoms(F.col("source_text")), lambda a: F.struct(a["value"].alias("raw"), a["kind"].alias("kind"), F.lit(False).alias("dotted")))
     every = F.concat(seen, F.array(F.struct(own["value"].alias("raw"), F.lit("parser_value").alias("kind"), own["dotted"].alias("dotted"))))
     kept = [c for c in rows.columns if c != "value"]
-    atoms = rows.withColumn("common", common).select(*kept, "common", F.posexplode(every).alias("atom", "a"))
+    atoms = rows.withColumn("common", common).select(*kept, "common", F.posexplode_outer(every).alias("atom", "a"))
     value = F.bround(pricing.shelf(F.col("a.raw")), 2)
     atoms = atoms.where("a.raw is not null").withColumn("value", value)
     late = (F.col("field") == "price_default") & F.coalesce(F.col("value") <= F.col("card_value") * 1.02, F.lit(False))

@@ -6,6 +6,7 @@ appends struct(field, old, new, source) to the audit.  Values are strings, as in
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import missing, numparse, pricing
 
+TOGETHER = 1  # rules in one stage of generated code
 AUDIT = "array<struct<field:string,old:string,new:string,source:string>>"
 
 
@@ -27,11 +29,16 @@ class Rule:
 
 
 def applied(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Each rule sees what the ones before it left; a field that df lacks is passed over."""
+    """Each rule sees what the ones before it left; a field that df lacks is passed over.
+
+    The number of changes so far is observed after every few rules (metric ``rules``): this also ends a
+    stage of generated code, which would otherwise hold all rules and be too large to compile.
+    """
     out = df if "audit" in df.columns else df.withColumn("audit", F.array().cast(AUDIT))
-    for r in rules:
-        if r.field not in df.columns:
-            continue
+    rules = [r for r in rules if r.field in df.columns]
+    for k, r in enumerate(rules):
+        if k % TOGETHER == 0:
+            out = out.observe(f"rules {uuid.uuid4().hex}", F.sum(F.size("audit")).alias("changes"))
         out = out.withColumn("_old", F.coalesce(F.col(r.field).cast("string"), F.lit(""))).withColumn("_new", F.lit("") if r.clears else r.value)
         old, new = F.col("_old"), F.col("_new")
         go = F.coalesce(r.guard, F.lit(True)) if r.guard is not None else F.lit(True)
@@ -45,7 +52,8 @@ def applied(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def changes(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys, F.posexplode("audit").alias("step", "a")).select(*keys, "step", "a.*")
+    # The outer form: the plain one's inferred filter on the audit would repeat all rules below them.
+    return df.select(*keys, F.posexplode_outer("audit").alias("step", "a")).where("a is not null").select(*keys, "step", "a.*")
 
 
 def _price(field: str) -> Column:
@@ -99,7 +107,7 @@ def sanity() -> list[Rule]:
     both = f.isNotNull() & d.isNotNull() & c.isNotNull()
     off = (d <= c * 1.02) | (c > d * 1.25) | (F.greatest(d, c) / F.greatest(F.lit(1.0), F.least(d, c)) >= 4) | (F.abs(c - d * f) / F.greatest(F.lit(1.0), d * f) > 0.35) | (d > 20000)
     sane = c.between(5, 9999)
-    better = pricing.closest(c / f)
+    better = F.col("_better")
     return [
         Rule("price_card", _money(c), "price_card_shelf_cents", both & sane), *_clear("price_card", "price_card_out_of_range_removed", both & ~sane),
         Rule("price_default", _money(better), "discount_relation_default_repair", both & sane & off & better.between(5, 20000)),
@@ -110,7 +118,7 @@ def sanity() -> list[Rule]:
 
 def without_discount() -> list[Rule]:
     d, c = F.col("_default"), F.col("_card")
-    tenth = pricing.regular(d / 10, F.lit(True))
+    tenth = F.col("_tenth")
     both = F.col("_factor").isNull() & d.isNotNull() & c.isNotNull()
     big = (d > c * 4) & ~(c > d * 1.5)
     fits = tenth.between(c, c * 2.5)
@@ -129,8 +137,10 @@ def with_sanity(df: DataFrame) -> DataFrame:
     out = df
     for step in (sanity, without_discount, ranges):
         out = out.withColumn("_factor", pricing.factor(pricing.percent(F.col("discount_amount"))))
-        out = out.withColumn("_default", pricing.regular(_price("price_default"), _dotted("price_default"))).withColumn("_card", pricing.shelf(_price("price_card")))
-        out = applied(out, step()).drop("_factor", "_default", "_card")
+        out = out.withColumn("_read", _price("price_default")).withColumn("_card", pricing.shelf(_price("price_card")))
+        out = out.withColumn("_default", pricing.regular(F.col("_read"), _dotted("price_default"))).withColumn("_better", pricing.closest(F.col("_card") / F.col("_factor")))
+        out = out.withColumn("_tenth", pricing.regular(F.col("_default") / 10, F.lit(True)))
+        out = applied(out, step()).drop("_factor", "_read", "_default", "_card", "_better", "_tenth")
     return out
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract, qr, text
 from ..operators import elections
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from ._registry import query
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
@@ -18,7 +18,7 @@ BARCODE_TEXT = "concat('EAN ', lpad(cast(l_orderkey * 1000 + l_partkey as {s}),
 
 
 def texts(spark, sf_dir, form):
-    return table(spark, sf_dir, "lineitem").select(*KEY, F.expr(form.format(i="bigint", s="string")).alias("t"))
+    return spread(table(spark, sf_dir, "lineitem")).select(*KEY, F.expr(form.format(i="bigint", s="string")).alias("t"))
 
 
 def duck(form):
@@ -98,13 +98,13 @@ def qr_parse(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CASE WHEN length(CAST(b AS VARCHAR)) BETWEEN 8 AND 14 THEN CAST(b AS VARCHAR) ELSE '' END AS qr_code_barcode, CAST(CAST(p AS BIGINT) AS VARCHAR) || '.00' AS price1_qr, p > 0 AND length(CAST(b AS VARCHAR)) BETWEEN 8 AND 14 AS valid FROM r""")
 def qr_payload(spark, sf_dir):
     payload = F.expr("concat('https://q.example/t?b=', cast(4600000000000 + l_orderkey * 1000 + l_partkey as string), '&p1=', cast(cast(floor(l_extendedprice) as bigint) as string))")
-    df = table(spark, sf_dir, "lineitem").select(*KEY, payload.alias("u")).withColumn("m", qr.parsed(F.col("u")))
+    df = spread(table(spark, sf_dir, "lineitem")).select(*KEY, payload.alias("u")).withColumn("m", qr.parsed(F.col("u")))
     return df.select(*KEY, qr.value(F.col("m"), "qr_code_barcode").alias("qr_code_barcode"), qr.value(F.col("m"), "price1_qr").alias("price1_qr"), qr.valid(F.col("u"), F.col("m")).alias("valid"))
 
 
 def candidates(spark, sf_dir):
     """Field candidates in long form, from lineitem: a track is an order, evidence a line."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     whole = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) / 10).cast("long")
     base = li.select(F.lit("v").alias("video_id"), F.col("l_orderkey").alias("track_id"), (F.col("l_linenumber") * 200).cast("long").alias("timestamp_ms"), F.lit("rapidocr").alias("engine"), F.lit("price_card").alias("zone"),
         F.when(F.col("l_linenumber") % 2 == 0, "tight_enhanced").otherwise("raw").alias("image_kind"), F.col("l_quantity").alias("q"), whole.alias("w"), F.floor(F.col("l_extendedprice") / 10).cast("long").alias("d"), F.round(F.col("l_discount") * 400).cast("int").alias("p"),

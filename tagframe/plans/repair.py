@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing
 from ..operators import ordering, rules
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from ._registry import query
 from .fields import KEY, KEYS
 
@@ -41,7 +41,7 @@ def infer_discount(spark, sf_dir):
 
 def price_rows(spark, sf_dir):
     """Result rows with faulty prices: every 7th default is ten times too high, every 11th lost."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select(*KEY, "l_extendedprice", "l_discount"))
     d = F.floor(F.col("l_extendedprice") / 10)
     default = F.when(F.col("l_orderkey") % 11 == 0, "").when(F.col("l_orderkey") % 7 == 0, (d * 10).cast("long").cast("string")).otherwise(d.cast("long").cast("string"))
     card = F.floor(d * (1 - F.col("l_discount") * 5)).cast("long").cast("string")

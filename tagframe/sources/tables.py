@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.select(*(F.col(c).cast("timestamp").alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in df.dtypes))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files are too few for that (less than a full split per core): for
+    costly expressions over small tables.  Larger inputs stay as they are read, without a shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * (128 << 20) else df
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table as a stream of files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
@@ -24,9 +33,11 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where none is set."""
+    """spark.checkpoint.dir; a temporary folder only in local mode where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="tagframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
