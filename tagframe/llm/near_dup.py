@@ -7,17 +7,23 @@ Plan
 2. Documents with equal sets form one class; its smallest doc_id stands for it.  Copies
    are never expanded into pairs.
 3. A bucket (documents with one band key) gives pairs with a pivot only: m - 1 pairs for
-   m members.  The odd sketches' XOR population count and the set sizes discard pairs,
-   the rest is confirmed on the full sets.
+   m members.  The pivot is the member that meets most documents over all its buckets: of a
+   text and its edited copies that is the text, which is nearer to all copies than they are to
+   one another.  The odd sketches' XOR population count and the set sizes discard pairs, the
+   rest is confirmed on the full sets.
 4. Connected components of the links.  Buckets whose other members are then in more than
    one component hold pairs that may still be linked.  They are found from the
-   differences to the pivot P: of a linked pair X, Y at most
+   differences to P, the most met member of the bucket's most frequent component (members
+   linked with P count as that component's): of a linked pair X, Y at most
    a(X, Y) = |X| - t / (1 + t) * (|X| + |Y|) members of X are outside Y (t: the similarity).
    If X \ P has more members than that, some of them are in Y, hence in Y \ P, and the
-   first a + 1 members (by hash) of both differences share one: an equi-join on it.  Pairs
-   in which both differences are small meet by cells of their sizes.  Members of P's own
-   component are never paired among themselves.  So no pair that shares a bucket is left
-   out, and a large group of copies is linked through its pivot alone.
+   first a + 1 members of both differences share one, in any order that both follow: an
+   equi-join on it.  The order is by how many documents of the pivot's have the member, rare
+   ones first; a member that only one component has can join nothing, but takes its place
+   among the a + 1.  Pairs in which both differences are small meet by cells of their sizes.
+   Members of P's own component are never paired among themselves.  So no pair that shares a
+   bucket is left out, and a large group of copies is linked through its pivot alone.
+   A pivot with many members is dealt over several tasks (its row is repeated for each).
 
 An odd sketch has a bit for each hash value; the bit's parity tells how many MinHash
 samples (position, value) fell on it.  XOR of two sketches holds only the samples in
@@ -37,10 +43,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import LOWER, SPACE, U64, cut, mix, odd_numbers, slices, utf8, word_bounds, word_hashes
+from ._common import LOWER, SPACE, U64, cut, dealt, each_part, mix, odd_numbers, parts_of, slices, utf8, word_bounds, word_hashes
+
+PARTS, PART_ROWS = 16, 256  # how a pivot's members are dealt
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.ndarray]:
@@ -163,26 +172,33 @@ def setter(width: int, shipped):
 
 
 def outside(percent: int, parts: int = 16):
-    """For (p, node, main, component, left, right): the node's set (right) against the pivot's (left)."""
+    """For (p, node, main, component, left, right): the node's set (right) against the pivot's (left).
+    Gives all members outside the pivot, how many of them to look at, the cells of sizes, and
+    whether the two are linked; a node linked with the pivot is of its component."""
     t = percent / 100
     step = np.log(1 / t) / parts
 
     def run(batches):
         for batch in batches:
             left, right = batch.column("left"), batch.column("right")
-            tokens, cells = [], []
+            tokens, room_for, cells, signs, linked = [], [], [], [], []
             for i in range(len(left)):
                 x, y = (c[i].values.to_numpy(zero_copy_only=False).view(U64) for c in (right, left))
                 out = np.setdiff1d(x, y, assume_unique=True)
                 n = len(x)
-                tokens.append(out[: int((1 - t) * n + 1e-9) + 1].view(np.int64))
+                linked.append(100 * (n - len(out)) >= percent * (len(y) + len(out)))
+                tokens.append(out.view(np.int64))
+                signs.append(np.add.reduce(x).view(np.int64))  # rows that repeat an id differ by it
+                room_for.append(int((1 - t) * n + 1e-9) + 1)
                 own = int(np.floor(np.log(n) / step))
                 near = np.arange(own - parts - 1, own + parts + 2)
                 # The partner's size is at least its cell's lower end.
                 room = n - t / (1 + t) * (n + np.exp(near * step)) + 1e-6
                 cells.append(near[len(out) <= room] * 100_000 + own)
-            same = [batch.column(c) for c in ("p", "node", "main", "component")]
-            yield pa.RecordBatch.from_arrays([*same, pa.array(tokens, pa.list_(pa.int64())), pa.array(cells, pa.list_(pa.int64()))], ["p", "node", "main", "component", "tokens", "cells"])
+            linked, longs = pa.array(linked, pa.bool_()), pa.list_(pa.int64())
+            main = pc.or_(batch.column("main"), linked)
+            same = [batch.column("p"), batch.column("node"), main, linked, pc.if_else(main, batch.column("p_component"), batch.column("component"))]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(tokens, longs), pa.array(room_for, pa.int64()), pa.array(signs, pa.int64()), pa.array(cells, longs)], ["p", "node", "main", "linked", "component", "tokens", "room", "sign", "cells"])
 
     return run
 
@@ -197,7 +213,8 @@ def joint(batches):
             both = np.concatenate([x, y])
             both.sort(kind="stable")
             out[i] = np.count_nonzero(both[1:] == both[:-1])
-        yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(out)], ["u", "v", "common"])
+        names = ["u", "v", "u_n", "v_n"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out)], [*names, "common"])
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -246,11 +263,15 @@ def near_duplicates(
     # The estimate is at least min_estimate while the population count is at most this.
     most = bits / 2 * (1 - np.exp(-4 * bands * rows / bits * (1 - min_estimate)))
 
+    def beside(pairs: DataFrame, left: DataFrame) -> DataFrame:
+        """``pairs`` with the columns of ``left`` (by u), whose rows are repeated for each part s of u's pairs."""
+        return pairs.join(pairs.select("u", "s").distinct().join(left, "u"), ["u", "s"])
+
     def likely(pairs: DataFrame) -> DataFrame:
         a, b = (sketch.select(F.col("node").alias(x), F.col("n_shingles").alias(f"{x}_n"), F.col("odd").alias(f"{y}_odd")) for x, y in (("u", "a"), ("v", "b")))
-        both = pairs.join(a, "u").join(b, "v")
+        both = beside(pairs, a).join(b, "v")
         fits = 100 * F.least("u_n", "v_n") >= percent * F.greatest("u_n", "v_n")
-        return both.where(fits & (apart <= float(most))).select("u", "v", "u_n", "v_n").distinct()
+        return both.where(fits & (apart <= float(most))).select("u", "v", "s", "u_n", "v_n").distinct()
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         """(node, hashes) of the wanted documents (and few others); texts are read again, not shuffled."""
@@ -268,42 +289,58 @@ def near_duplicates(
         """Links among ``pairs``, on full sets."""
         sets = sets_of(ends(pairs, "u", "v"))
         left, right = (sets.select(F.col("node").alias(x), F.col("hashes").alias(y)) for x, y in (("u", "left"), ("v", "right")))
-        found = pairs.select("u", "v").join(right, "v").join(left, "u").mapInArrow(joint, "u long, v long, common long")
-        sums = found.join(pairs, ["u", "v"])
+        sums = beside(pairs.join(right, "v"), left).mapInArrow(joint, "u long, v long, u_n long, v_n long, common long")
         return cut(sums.where(100 * F.col("common") >= percent * (F.col("u_n") + F.col("v_n") - F.col("common"))).select("u", "v").distinct(), "links")
 
-    def open_pairs(member: DataFrame, grouped: DataFrame) -> DataFrame:
-        """Pairs of different components in one pivot's buckets that may be linked."""
+    def open_pairs(member: DataFrame, grouped: DataFrame, weight: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links with a component's most met member, and pairs of different components in one pivot's
+        buckets that may be linked."""
         left = member.where("node <> pivot").join(grouped, "node")
-        # The new pivot leads the bucket's most frequent component; it need not be in the bucket.
         kinds = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
         best = F.max(F.struct("c", (-F.col("component")).alias("k")))
-        keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).where("n > 1").select("key", (-F.col("best.k")).alias("p"))
-        rows = cut(left.join(keys, "key").select("p", "node", "component", (F.col("component") == F.col("p")).alias("main")).distinct(), "open")
+        keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).where("n > 1").select("key", (-F.col("best.k")).alias("p_component"))
+        # The new pivot need not be in the bucket.
+        met = F.max(F.struct("weight", (-F.col("node")).alias("k")))
+        lead = weight.join(grouped, "node").groupBy("component").agg((-met["k"]).alias("p")).withColumnRenamed("component", "p_component")
+        keys = keys.join(lead, "p_component")
+        rows = left.join(keys, "key").where("node <> p").select("p", "p_component", "node", "component", (F.col("component") == F.col("p_component")).alias("main"))
+        rows = cut(rows.distinct(), "open")
         sets = sets_of(ends(rows, "p", "node"))
         left, right = (sets.select(F.col("node").alias(x), F.col("hashes").alias(y)) for x, y in (("p", "left"), ("node", "right")))
-        rows = rows.join(right, "node").join(left, "p").mapInArrow(outside(percent), "p long, node long, main boolean, component long, tokens array<long>, cells array<long>")
-        rows = cut(rows.distinct(), "outside")
+        rows = rows.join(right, "node").withColumn("s", F.pmod(F.xxhash64("node"), F.lit(PARTS)))
+        rows = rows.join(rows.select("p", "s").distinct().join(left, "p"), ["p", "s"]).drop("s")
+        shape = "p long, node long, main boolean, linked boolean, component long, tokens array<long>, room long, sign long, cells array<long>"
+        rows = cut(rows.mapInArrow(outside(percent), shape), "outside")
+        each = rows.select("p", "node", "main", "component", "room", "sign", F.explode("tokens").alias("k"))
+        held = each.groupBy("p", "k").agg(F.count(F.lit(1)).alias("c"), (F.min("component") < F.max("component")).alias("joins"))
+        rank = F.row_number().over(Window.partitionBy("p", "node", "sign").orderBy("c", "k"))
+        rare = cut(each.join(held, ["p", "k"]).withColumn("rank", rank).where("rank <= room and joins"), "rare")
         got = None
         for name in ("tokens", "cells"):
-            each = rows.select("p", "node", "main", "component", F.explode(name).alias("k"))
+            each = rare if name == "tokens" else rows.select("p", "node", "main", "component", F.explode(name).alias("k"))
             # A cell key holds (partner, own); the partner's is turned round.
             turned = F.col("k") if name == "tokens" else F.pmod(F.col("k"), F.lit(100_000)) * 100_000 + F.floor(F.col("k") / 100_000)
             other = each.where("not main").select("p", turned.alias("k"), F.col("node").alias("node_b"), F.col("component").alias("component_b"))
             for part in (each.where("main"), each.where("not main")):
                 pairs = part.join(other, ["p", "k"]).where("component <> component_b")
-                pairs = pairs.select(F.least("node", "node_b").alias("u"), F.greatest("node", "node_b").alias("v"))
+                pairs = pairs.select(F.least("node", "node_b").alias("u"), F.greatest("node", "node_b").alias("v"), F.lit(0).alias("s"))
                 got = pairs if got is None else got.union(pairs)
-        return cut(got.distinct(), "tried")
-
-    member = lead.select(F.explode("bands").alias("key"), "node").distinct()
-    size = member.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    member = cut(member.join(size, "key"), "buckets")
-    pairs = member.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+        return cut(rows.where("linked").select(F.col("p").alias("u"), F.col("node").alias("v")).distinct(), "links"), cut(got.distinct(), "tried")
+
+    member = lead.select(F.explode("bands").alias("key"), "node", dealt(F.col("node"), PARTS).alias("s"))
+    size = member.groupBy("key").agg(F.count(F.lit(1)).alias("m"), parts_of("s").alias("parts")).where("m > 1")
+    member = cut(member.join(size.select("key", "m", each_part("parts", PARTS).alias("s")), ["key", "s"]), "met")
+    weight = cut(member.groupBy("node").agg(F.sum("m").alias("weight")), "weight")
+    met = F.max(F.struct("weight", (-F.col("node")).alias("k")))
+    pivot = member.join(weight, "node").groupBy("key").agg((-met["k"]).alias("pivot"), parts_of("s").alias("parts"))
+    member = cut(member.join(pivot.select("key", "pivot", each_part("parts", PARTS).alias("s")), ["key", "s"]), "buckets")
+    pairs = member.where("node <> pivot").groupBy(F.col("pivot").alias("u"), F.col("node").alias("v")).agg(F.max("m").alias("m"))
+    pairs = pairs.select("u", "v", F.pmod(F.xxhash64("v"), F.ceil(F.col("m") / PART_ROWS)).cast("int").alias("s"))
     links = confirmed(cut(likely(pairs), "pairs"))
     nodes = lead.select("node").distinct()
     grouped = cut(components(nodes, links), "groups")
-    more = confirmed(cut(likely(open_pairs(member, grouped)), "pairs"))
+    near, tried = open_pairs(member, grouped, weight)
+    more = near.union(confirmed(cut(likely(tried), "pairs")))
     if more.limit(1).count():
         grouped = cut(components(nodes, links.union(more)), "groups")
     ids = classes.join(grouped, "node", "left").select("s1", "s2", "n_shingles", "component")
