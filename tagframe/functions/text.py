@@ -70,8 +70,8 @@ def distinctive_tokens(norm: Column, stop: tuple[str, ...] = ()) -> Column:
 def grams(c: Column, n: int = 3) -> Column:
     """Distinct character n-grams; a shorter text is its own gram, an empty one has none."""
     size = F.length(c)
-    many = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.substr(c, i, F.lit(n)))
-    return F.when(size == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(many))
+    many = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))  # one pass, whatever the length
+    return F.when(size == 0, F.array().cast("array<string>")).when(size < n, F.array(c)).otherwise(F.array_distinct(many))
 
 
 def trigrams(c: Column) -> Column:

@@ -46,10 +46,10 @@ def trigram_blocking(spark, sf_dir):
     return catalog.blocked(e, e, ("trigram",)).select("query_id", "entry_id", "n_trigram")
 
 
-@query(f"WITH {NAME_SQL}, c AS (SELECT a.id AS query_id, b.id AS entry_id, count(*) * 0.05 AS cheap FROM t a JOIN t b USING (k) GROUP BY 1, 2) SELECT query_id, entry_id, round(cheap, 6)::DOUBLE AS cheap, i AS pre_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cheap DESC, entry_id) i FROM c) WHERE i <= 5")
+@query(f"WITH {NAME_SQL}, c AS (SELECT a.id AS query_id, b.id AS entry_id, count(*) * 0.05 AS cheap FROM t a JOIN t b USING (k) GROUP BY 1, 2) SELECT query_id, entry_id, round(cheap, 6)::DOUBLE AS cheap, i AS pre_rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cheap DESC, entry_id) i FROM c) WHERE i <= 900")
 def top900_preselect(spark, sf_dir):
     e = catalog.entries(names(spark, sf_dir), "id", "p_name")
-    out = catalog.preselect(catalog.blocked(e, e, ("trigram",)), 5)
+    out = catalog.preselect(catalog.blocked(e, e, ("trigram",)), 900)
     return out.select("query_id", "entry_id", F.round("cheap", 6).alias("cheap"), F.col("pre_rank").cast("long").alias("pre_rank"))
 
 

@@ -65,10 +65,10 @@ def normalize_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.normalized(F.col("text")).alias("norm"))
 
 
-@query("""WITH n AS (SELECT doc_id, regexp_replace(lower(substr(text, 1, 60)), '[^0-9a-z]+', '', 'g') k FROM documents), g AS (SELECT doc_id, list_distinct([substr(k, CAST(i AS BIGINT), 3) for i in range(1, greatest(length(k) - 2, 1) + 1)]) a FROM n WHERE k <> '')
+@query("""WITH n AS (SELECT doc_id, regexp_replace(lower(text), '[^0-9a-z]+', '', 'g') k FROM documents), g AS (SELECT doc_id, list_distinct([substr(k, CAST(i AS BIGINT), 3) for i in range(1, greatest(length(k) - 2, 1) + 1)]) a FROM n WHERE k <> '')
 SELECT doc_id, len(a) AS n_grams FROM g""")
 def ngram_sets(spark, sf_dir):
-    k = F.regexp_replace(F.lower(F.substring("text", 1, 60)), "[^0-9a-z]+", "")
+    k = F.regexp_replace(F.lower("text"), "[^0-9a-z]+", "")
     return table(spark, sf_dir, "documents").select("doc_id", k.alias("k")).where("k <> ''").select("doc_id", F.size(text.grams(F.col("k"))).cast("long").alias("n_grams"))
 
 
