@@ -23,7 +23,7 @@ class Options:
     buffer: int = 24
 
 
-@dataclass
+@dataclass(eq=False)
 class Track:
     number: int
     box: tuple[float, float, float, float]
@@ -43,19 +43,17 @@ def distance(a, b) -> float:
     return math.hypot((a[0] + a[2] - b[0] - b[2]) / 2, (a[1] + a[3] - b[1] - b[3]) / 2) / max(side, 1.0)
 
 
-def frame_step(tracks: list[Track], at: int, shift: tuple[float, float], found: list[tuple], options: Options) -> list[int]:
-    """Moves the boxes of live tracks, then lets detections (box, confidence), best first, each take the
-    best free track; the oldest wins ties.  Gives the track numbers in the order of ``found``."""
-    live = [t for t in tracks if at - t.last <= options.most_gap]
-    for t in live:
+def frame_step(tracks: list[Track], made: int, at: int, shift: tuple[float, float], found: list[tuple], options: Options) -> tuple[list[int], int]:
+    """Forgets tracks past the gap and moves the others' boxes; then detections (box, confidence), best
+    first, each take the best free track, the oldest on ties, or open one.  ``tracks`` holds live ones
+    only and is changed in place.  Gives the track numbers in the order of ``found`` and the number made."""
+    tracks[:] = [t for t in tracks if at - t.last <= options.most_gap]
+    for t in tracks:
         t.box = (t.box[0] + shift[0], t.box[1] + shift[1], t.box[2] + shift[0], t.box[3] + shift[1])
-    used: set[int] = set()
-    out = [0] * len(found)
+    free, out = list(tracks), [0] * len(found)
     for i in sorted(range(len(found)), key=lambda i: (-found[i][1], i)):
         box, best, top = found[i][0], None, -math.inf
-        for t in live:
-            if t.number in used:
-                continue
+        for t in free:
             near, far = overlap(t.box, box), distance(t.box, box)
             if near < options.least_iou and far > options.most_distance:
                 continue
@@ -63,12 +61,14 @@ def frame_step(tracks: list[Track], at: int, shift: tuple[float, float], found:
             if score > top:
                 best, top = t, score
         if best is None:
-            best = Track(len(tracks) + 1, box, at)
+            made += 1
+            best = Track(made, box, at)
             tracks.append(best)
+        else:
+            free.remove(best)
         best.box, best.last = box, at
-        used.add(best.number)
         out[i] = best.number
-    return out
+    return out, made
 
 
 def frames(rows: pd.DataFrame):
@@ -87,8 +87,10 @@ def assign(detections: DataFrame, options: Options = Options()) -> DataFrame:
         pdf = pdf.sort_values(["at", "det_id"], kind="stable")
         tracks: list[Track] = []
         numbers: list[int] = []
+        made = 0
         for at, shift, found in frames(pdf):
-            numbers += frame_step(tracks, at, shift, found, options)
+            own, made = frame_step(tracks, made, at, shift, found, options)
+            numbers += own
         return pd.DataFrame({"video_id": pdf.video_id, "det_id": pdf.det_id, "at": pdf["at"], "track_id": numbers})
 
     return detections.groupBy("video_id").applyInPandas(run, f"video_id {kind}, det_id long, at long, track_id long")

@@ -63,4 +63,4 @@ def stream_queue_fold(spark, sf_dir):
     kinds = F.array(*(F.struct(F.lit(i).cast("double").alias("at"), F.lit(i).alias("seq"), k.alias("kind")) for i, k in enumerate((F.lit("enqueue"), F.lit("claim"), last))))
     first = e.withColumn("ts", F.timestamp_seconds(F.lit(0))).withWatermark("ts", "1 hour").dropDuplicates(["task_id"])
     rows = first.select("task_id", "worker", F.explode(kinds).alias("k")).select("task_id", "worker", "k.*")
-    return sinks.drained(stateful.queue(rows), "update").select("task_id", "status")
+    return sinks.drained(stateful.queue(rows), "update", keys=["task_id"]).select("task_id", "status")
