@@ -6,10 +6,13 @@ side goes, so a strong row never goes by it and a weak row never drops another.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry
+from . import lookups
 from .ordering import elect
 
 
@@ -27,14 +30,24 @@ def skipped_groups(rows: DataFrame, barcode: str = "barcode") -> DataFrame:
 
 
 def spatial_pairs(rows: DataFrame, gone: DataFrame, *, price: str = "price", strong: str = "strong", tokens: str = "tokens", idx: str = "idx", least_iou: float = 0.25, most_distance: float = 90.0) -> DataFrame:
-    """(weak idx, strong idx) of equal price, near boxes and a common token; ``gone``: idx dropped before."""
+    """(weak idx, strong idx) of equal price, near boxes and a common token; ``gone``: idx dropped before.
+
+    The join is on price and grid cell, as few prices are very frequent.  A weak box grown by the distance
+    meets every box that overlaps it or whose centre is within it.
+    """
     live = rows.join(gone.select(idx), idx, "left_anti").where(F.col(price).isNotNull())
-    cols = [price, idx, tokens, "x_min", "y_min", "x_max", "y_max"]
-    weak = live.where(~F.col(strong)).select(*(F.col(c).alias(f"w_{c}") for c in cols))
-    sure = live.where(F.col(strong)).select(*(F.col(c).alias(f"s_{c}") for c in cols))
-    a, b = geometry.box("w_"), geometry.box("s_")
+    box = ["x_min", "y_min", "x_max", "y_max"]
+
+    def side(df: DataFrame, p: str, grow: float) -> DataFrame:
+        low, high = (lambda c: F.least(f"{c}_min", f"{c}_max") - grow), (lambda c: F.greatest(f"{c}_min", f"{c}_max") + grow)
+        edges = (low("x"), low("y"), high("x"), high("y"))
+        return df.select(F.col(price).alias("price"), F.col(idx).alias(f"{p}_idx"), F.col(tokens).alias(f"{p}_tokens"), F.struct(*box).alias(f"{p}_box"), *(e.alias(f"{p}_{c}") for e, c in zip(edges, box)))
+
+    keep = [[f"{p}_{c}" for c in ("idx", "tokens", "box")] for p in "bt"]
+    both = lookups.cell_join(side(live.where(~F.col(strong)), "b", most_distance), side(live.where(strong), "t", 0.0), ["price"], max(1, math.ceil(4 * most_distance)), *keep)
+    a, b = (tuple(F.col(f"{p}_box")[c] for c in box) for p in "bt")
     near = (geometry.iou(a, b) >= least_iou) | (geometry.centre_distance(a, b) <= most_distance)
-    return weak.join(sure, (F.col(f"w_{price}") == F.col(f"s_{price}")) & near & F.arrays_overlap(f"w_{tokens}", f"s_{tokens}")).select(F.col(f"w_{idx}").alias(idx), F.col(f"s_{idx}").alias("kept_idx"))
+    return both.where(near & F.arrays_overlap("b_tokens", "t_tokens")).select(F.col("b_idx").alias(idx), F.col("t_idx").alias("kept_idx"))
 
 
 def spatial_drops(rows: DataFrame, gone: DataFrame, **options) -> DataFrame:
