@@ -121,8 +121,8 @@ def category(token_set: Column) -> Column:
 UNIT = r"(\d+(?:\.\d+)?|\d+\s+\d{2,3})\s*(кг|kg|гр|г|g|мл|ml|л|l)(?![0-9A-Za-zА-Яа-яЁё_])"
 
 
-def units(c: Column) -> Column:
-    """Weights and volumes in grams and millilitres, as ``250g`` and ``500ml``."""
+def unit_list(c: Column) -> Column:
+    """Weights and volumes in grams and millilitres, as ``250g`` and ``500ml``, in the text's order."""
     t = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), ",", ".")
     number, unit = (F.regexp_extract_all(t, F.lit(UNIT), F.lit(i)) for i in (1, 2))
 
@@ -131,7 +131,11 @@ def units(c: Column) -> Column:
         big = F.when(u.isin("кг", "kg", "л", "l"), v * 1000).otherwise(v)
         return F.concat(F.bround(big, 0).cast("long").cast("string"), F.when(u.isin("кг", "kg", "гр", "г", "g"), "g").otherwise("ml"))
 
-    return F.array_distinct(F.filter(F.zip_with(number, unit, one), lambda x: x.isNotNull()))
+    return F.filter(F.zip_with(number, unit, one), lambda x: x.isNotNull())
+
+
+def units(c: Column) -> Column:
+    return F.array_distinct(unit_list(c))
 
 
 def weight_display(c: Column) -> Column:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import extract, geometry, numparse, pricing, text
-from ..operators import jobs, lookups, metrics, ordering, quality, recovery, rules, selection
+from ..functions import extract, geometry, numparse, pricing, tail, text
+from ..operators import dispatch, jobs, lookups, metrics, ordering, quality, recovery, rules, selection, wording
 from ..sources.tables import table
 from ._registry import query
 
@@ -257,3 +257,46 @@ def qr_priority(spark, sf_dir):
     made = [r for r in rules.qr_priority(("code",)) if r.field == "code"]
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     return rules.changes(rules.applied(df, made), keys).select(*keys, "source", "new")
+
+
+@query("""WITH l AS (SELECT l_orderkey k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) - 1 AS i, CASE WHEN l_linenumber % 3 = 2 THEN CAST(l_quantity AS DOUBLE) END p FROM lineitem),
+n AS (SELECT *, max(CASE WHEN p IS NOT NULL THEN i END) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) a, min(CASE WHEN p IS NOT NULL THEN i END) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) b FROM l)
+SELECT n.k AS l_orderkey, n.i AS place, round(coalesce(n.p, x.p + (y.p - x.p) * (n.i - a) / (b - a), x.p + 0.01 * (n.i - a), y.p - 0.01 * (b - n.i), n.i), 4) AS filled
+FROM n LEFT JOIN l x ON x.k = n.k AND x.i = n.a LEFT JOIN l y ON y.k = n.k AND y.i = n.b""")
+def gap_fill(spark, sf_dir):
+    known = F.when(F.col("l_linenumber") % 3 == 2, F.col("l_quantity").cast("double"))
+    own = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", known.alias("p")))).alias("a"))
+    out = own.select("l_orderkey", F.posexplode(wording.filled(F.col("a.p"))).alias("place", "filled"))
+    return out.withColumn("filled", F.round("filled", 4))
+
+
+@query()
+def word_order(spark, sf_dir):
+    """A part's name with type and brand before it, ordered by the reversed text."""
+    base = F.concat_ws(" ", "p_type", "p_brand", "p_name")
+    part = table(spark, sf_dir, "part").select("p_partkey", base.alias("base"))
+    shown = part.select("p_partkey", F.lit(0).alias("ordinal"), F.array_join(F.reverse(F.split("base", " ")), " ").alias("text"))
+    return wording.ordered(part, shown, ["p_partkey"])
+
+
+@query()
+def zone_candidates(spark, sf_dir):
+    """Each document is the text of a zone with all target fields."""
+    d = table(spark, sf_dir, "documents")
+    tokens = F.array().cast("array<struct<text:string,confidence:double,box:array<array<double>>>>")
+    rows = d.select("doc_id", F.lit("price_card").alias("zone"), F.lit("price_card|price_default|discount_amount|barcode|id_sku|print_datetime|code|product_name").alias("target_fields"), F.lit("easyocr").alias("engine"), F.lit(1).alias("rank"), tokens.alias("tokens"), "text", F.lit(1.0).alias("confidence"))
+    return dispatch.quantised(dispatch.candidates(rows)).select("doc_id", "field_no", "field", "value", "valid", "confidence", "score")
+
+
+@query("SELECT l_orderkey, l_linenumber, round_even(CAST(l_extendedprice AS DOUBLE) / 7, 4) AS score FROM lineitem")
+def stored_scores(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return dispatch.quantised(li.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice").cast("double") / 7).alias("score")))
+
+
+@query("SELECT p_partkey, p_name AS base, 'Россия' AS country, p_size || 'г' AS unit, p_name || CASE WHEN p_partkey % 2 = 0 THEN ' ст/б' ELSE '' END || ' (Россия) ' || p_size || 'г' AS restored FROM part")
+def name_tails(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    name = F.concat(F.col("p_name"), F.when(F.col("p_partkey") % 3 == 0, " (Росия) ").otherwise(" (россия), "), F.col("p_size").cast("string"), F.lit(" гр"))
+    out = part.select("p_partkey", tail.split(name).alias("t")).select("p_partkey", "t.*")
+    return out.withColumn("restored", tail.restored(F.col("base"), F.col("country"), F.col("unit"), F.col("p_partkey") % 2 == 0))

@@ -64,3 +64,22 @@ def stream_queue_fold(spark, sf_dir):
     first = e.withColumn("ts", F.timestamp_seconds(F.lit(0))).withWatermark("ts", "1 hour").dropDuplicates(["task_id"])
     rows = first.select("task_id", "worker", F.explode(kinds).alias("k")).select("task_id", "worker", "k.*")
     return sinks.drained(stateful.queue(rows), "update", keys=["task_id"]).select("task_id", "status")
+
+
+@query("""WITH t AS (SELECT event_type AS queue, CAST(event_id AS VARCHAR) AS task_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id % 7, CAST(event_id AS VARCHAR)) k FROM events),
+c AS (SELECT event_type AS queue, event_id AS seq, row_number() OVER (PARTITION BY event_type ORDER BY event_id) k FROM events)
+SELECT queue, seq, task_id, 1 AS attempts FROM t JOIN c USING (queue, k)""")
+def stream_queue_claims(spark, sf_dir):
+    """Each event is a task and then a claim of its type's queue; no lease ends."""
+    e = stream(spark, sf_dir, "events")
+    none = F.lit(None).cast("long")
+    task = F.struct(F.col("event_id").cast("string").alias("task_id"), F.lit("enqueue").alias("kind"), F.lit(0.0).alias("at"), (F.col("event_id") % 7).cast("long").alias("priority"))
+    claim = F.struct(F.lit(None).cast("string").alias("task_id"), F.lit("claim").alias("kind"), (F.col("event_id") + 1).cast("double").alias("at"), none.alias("priority"))
+    rows = e.select(F.col("event_type").alias("queue"), F.col("event_id").cast("long").alias("seq"), F.explode(F.array(task, claim)).alias("k")).select("queue", "seq", "k.*", F.lit("w").alias("worker"), none.alias("most"))
+    return sinks.drained(stateful.claims(rows, 1e12)).select("queue", "seq", "task_id", "attempts")
+
+
+@query("SELECT user_id AS worker, max(epoch_us(ts)) AS last_seen, 2000000000000000 - max(epoch_us(ts)) AS seconds_since FROM events WHERE event_id % 2 = 0 GROUP BY 1")
+def stream_worker_heartbeats(spark, sf_dir):
+    e = stream(spark, sf_dir, "events").select(F.col("user_id").alias("worker"), F.when(F.col("event_id") % 2 == 0, "heartbeat").otherwise("claim").alias("kind"), F.unix_micros("ts").alias("at"))
+    return sinks.drained(stateful.workers(e, F.lit(2_000_000_000_000_000)), "update", keys=["worker"])

@@ -127,3 +127,22 @@ def test_last_batch_of_a_key_counts(spark, tmp_path):
     events = batches(spark, tmp_path).where("task_id is not null")
     out = sinks.drained(stateful.queue(events.select("task_id", "kind", "at", "worker", "seq")), "update", keys=["task_id"])
     assert sorted(r.task_id for r in out.collect()) == ["a", "b"]
+
+
+def test_tails(spark):
+    from tagframe.functions import tail
+
+    texts = [
+        ("Чай черный (Росия) 250 г", "Россия", "250г", False), ("Вино итальянское 0,75 л ст/б", "Италия", "750мл", True), ("Соус россо 3 кг", "", "", False), ("Мед 120 г 9000 г", "", "120г", False),
+        ("Сыр 45% 200", "", "200г", False), ("Кофе Турцця 5 мл", "Турция", "5мл", False), ("", "", "", False), (None, "", "", False), ("Вода (без газа) 1.5 л", "", "1500мл", False),
+    ]
+    df = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: (r.c, r.u, r.g) for r in df.select("i", tail.country("t").alias("c"), tail.unit(F.col("t")).alias("u"), tail.glass(F.col("t")).alias("g")).collect()}
+    assert [got[i] for i in range(len(texts))] == [t[1:] for t in texts]
+    names = ["Чай (Россия), 250 гр", "Вода (без газа) 1,5л", "Мед (Чили) 0.", "Сок", None, "Набор (Италия) (Китай) 2x50 г"]
+    n = spark.createDataFrame([(i, t) for i, t in enumerate(names)], "i int, t string").select("i", tail.split(F.col("t")).alias("s")).select("i", "s.*")
+    n = n.withColumn("r", tail.restored(F.col("base"), F.col("country"), F.col("unit"), F.col("i") == 3))
+    got = {r.i: (r.base, r.country, r.unit, r.r) for r in n.collect()}
+    assert got[0] == ("Чай", "Россия", "250г", "Чай (Россия) 250г") and got[1] == ("Вода (без газа)", "", "1,5л", "Вода (без газа) 1,5л")
+    assert got[2][:3] == ("Мед", "Чили", "") and got[3] == ("Сок", "", "", "Сок ст/б") and got[4] == ("", "", "", "")
+    assert got[5][1] == "Китай" and got[5][0].startswith("Набор")
