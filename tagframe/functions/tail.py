@@ -76,7 +76,7 @@ def country(s: pd.Series) -> pd.Series:
     return s.map(country_of)
 
 
-@F.pandas_udf("base string, country string")
+@F.pandas_udf(T.StructType([T.StructField("base", T.StringType()), T.StructField("country", T.StringType())]))
 def _apart(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([without_countries(x) for x in s], columns=["base", "country"])
 

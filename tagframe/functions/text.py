@@ -49,6 +49,19 @@ def normalized(c: Column, unicode: bool = False) -> Column:
     return F.when(missing.core(c), "").otherwise(F.trim(t))
 
 
+# Fixed values of the barcode stage: spellings made equal before signs become spaces.
+SPELLINGS = {r"ст(?: / |/ ?)б": "ст б", r"a\. ?c\.": "а с"}
+
+
+def barcode_text(c: Column) -> Column:
+    """The barcode stage's form: NFKC, lower case, ё as е, letters and digits of any script, ``250r`` as ``250г``."""
+    t = F.translate(F.lower(nfkc(c)), "ё", "е")
+    for pattern, plain in SPELLINGS.items():
+        t = F.regexp_replace(t, pattern, plain)
+    t = F.trim(F.regexp_replace(t, r"[^\p{L}\p{N}]+", " "))
+    return F.when(missing.core(c), "").otherwise(F.regexp_replace(t, r"(?<![^ ])(\d+)r(?![^ ])", "$1г"))
+
+
 def category_text(c: Column) -> Column:
     return normalized(c)
 

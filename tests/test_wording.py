@@ -146,3 +146,11 @@ def test_tails(spark):
     assert got[0] == ("Чай", "Россия", "250г", "Чай (Россия) 250г") and got[1] == ("Вода (без газа)", "", "1,5л", "Вода (без газа) 1,5л")
     assert got[2][:3] == ("Мед", "Чили", "") and got[3] == ("Сок", "", "", "Сок ст/б") and got[4] == ("", "", "", "")
     assert got[5][1] == "Китай" and got[5][0].startswith("Набор")
+
+
+def test_barcode_stage_text(spark):
+    from tagframe.functions import text
+
+    cases = {"Пиво СТ / Б 0,5L": "пиво ст б 0 5l", "ст/ б": "ст б", "A.C. мёд 250R": "а с мед 250г", "a. c. ①": "а с 1", "Ünï–x 12rr": "ünï x 12rr", "": "", None: ""}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string").select("i", text.barcode_text(F.col("t")).alias("n"))
+    assert [r.n for r in sorted(df.collect())] == list(cases.values())
