@@ -12,10 +12,15 @@ query's own.
 
 Null and empty texts pass the filters (they hold no words).  Near-duplicates are decided by row: repeated or null
 doc_ids change nothing but which row of a group stays.
+
+Stages hand whole texts and shingle sets to Python workers.  Spark's own batches of 10,000 rows take some 50 MB each
+there and several times that outside the JVM's heap; stages ask for smaller ones (``small_batches``).
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,12 +58,29 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, keep=docs.columns)
 
 
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def small_batches(stage):
+    """``stage`` with BATCHES in its session, but for what the session sets itself.  They stay set, as a
+    stage's result is computed after it returns; they change no result."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for key, most in BATCHES.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, most)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", without_toxic),
-    ("near_duplicates", one_of_each_group),
-    ("decontamination", without_benchmarks),
-    ("secrets", without_secrets),
-    ("mixing", mixed),
+    ("toxicity", small_batches(without_toxic)),
+    ("near_duplicates", small_batches(one_of_each_group)),
+    ("decontamination", small_batches(without_benchmarks)),
+    ("secrets", small_batches(without_secrets)),
+    ("mixing", small_batches(mixed)),
 ]
 ORACLE_SQL = None
 

@@ -84,3 +84,24 @@ def test_near_duplicate_stage_decides_by_row(spark):
     rows = [(7, a), (7, a), (7, a), (2, b), (5, near), (5, c), (None, d), (None, d), (None, b), (9, None), (9, None), (3, " ")]
     want = [(7, a), (2, b), (5, c), (None, d), (9, None), (9, None), (3, " ")]
     assert stage_rows(spark, rows) == sorted(want, key=str)
+
+
+def test_stages_hand_python_small_batches(spark):
+    """Of 600 texts of 50 kB (30 MB) no worker gets more than about 4 MB at once, and none is lost."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    own = spark.newSession()
+    docs = own.range(600, numPartitions=1).selectExpr("id AS doc_id", "repeat('abcde fghi', 5000) AS text", "'en' AS lang", "'s' AS source", "50000L AS n_chars")
+    corpus_pipeline.STAGES[3][1](own, docs, SF)
+    got = docs.select("text").mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 600
+    assert max(r["size"] for r in got) < 5 << 20
+
+    kept = spark.newSession()
+    kept.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "77")
+    corpus_pipeline.STAGES[3][1](kept, docs, SF)
+    assert kept.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "77"
