@@ -6,12 +6,15 @@ applyInPandas (bounded by a video's length); many videos run in parallel.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass, field
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -113,6 +116,96 @@ def matched_truth(pairs: DataFrame, image: str = "image_id") -> DataFrame:
     return pairs.groupBy(image).applyInPandas(run, f"{image} {kind}, truth long, pred long, iou double")
 
 
+class Nearest:
+    """Free boxes by overlap with a given one; rows of x_min, y_min, x_max, y_max with their ids."""
+
+    def __init__(self, ids: np.ndarray, boxes: np.ndarray):
+        order = np.argsort(boxes[:, 0], kind="stable")
+        self.rows, self.ids, self.sides = order, ids[order], np.ascontiguousarray(boxes[order].T)
+        self.area = np.maximum(0.0, self.sides[2] - self.sides[0]) * np.maximum(0.0, self.sides[3] - self.sides[1])
+        self.widest = float((self.sides[2] - self.sides[0]).max(initial=0.0))
+
+    def best(self, box: np.ndarray, free: np.ndarray, most: int) -> tuple[list[tuple[float, int, int]], bool]:
+        """(overlap, id, row) of the ``most`` free boxes of highest overlap above 0, by overlap, then id;
+        and whether these are all."""
+        # A box that starts further left ends before this one begins; the margin is for rounding.
+        a, b = np.searchsorted(self.sides[0], [box[0] - self.widest * (1 + 1e-9) - 1e-9 * abs(box[0]), box[2]])
+        at = a + np.flatnonzero(free[self.rows[a:b]])
+        x0, y0, x1, y1 = self.sides[:, at]
+        inter = np.maximum(0.0, np.minimum(box[2], x1) - np.maximum(box[0], x0)) * np.maximum(0.0, np.minimum(box[3], y1) - np.maximum(box[1], y0))
+        at, inter = at[inter > 0], inter[inter > 0]
+        iou = inter / (max(0.0, box[2] - box[0]) * max(0.0, box[3] - box[1]) + self.area[at] - inter)
+        every = len(at) <= most
+        if not every:
+            least = np.partition(iou, len(iou) - most)[len(iou) - most]
+            above, even = np.flatnonzero(iou > least), np.flatnonzero(iou == least)
+            even = even[np.argsort(self.ids[at[even]], kind="stable")][: most - len(above)]
+            keep = np.append(above, even)
+            at, iou = at[keep], iou[keep]
+        order = np.lexsort((self.ids[at], -iou))
+        return list(zip(iou[order].tolist(), self.ids[at[order]].tolist(), self.rows[at[order]].tolist())), every
+
+
+def greedy_matches(truth_ids: np.ndarray, truths: np.ndarray, pred_ids: np.ndarray, preds: np.ndarray, most: int = 32) -> list[tuple[int, int, float]]:
+    """(truth, pred, overlap) by descending overlap, then truth, then prediction.  A truth holds its ``most`` best
+    free predictions only and looks again when those are taken, so memory grows with boxes, not with pairs."""
+    free, near, taken = np.ones(len(preds), bool), Nearest(pred_ids, preds), 0
+    settled: set[int] = set()
+    used: set[int] = set()
+    lists: dict[int, tuple[list, bool]] = {}
+    heap: list[tuple[float, int, int, int, int, int]] = []
+    out = []
+
+    def look(row: int) -> None:
+        lists[row] = near.best(truths[row], free, most)
+        push(row, 0)
+
+    def push(row: int, place: int) -> None:
+        found, every = lists[row]
+        if place < len(found):
+            iou, pred, at = found[place]
+            heapq.heappush(heap, (-iou, int(truth_ids[row]), pred, row, place, at))
+        elif found and not every:
+            look(row)
+
+    for row in range(len(truths)):
+        look(row)
+    while heap:
+        iou, truth, pred, row, place, at = heapq.heappop(heap)
+        if truth in settled:
+            del lists[row]
+        elif not free[at] or pred in used:
+            free[at] = False
+            push(row, place + 1)
+        else:
+            out.append((truth, pred, -iou))
+            settled.add(truth)
+            used.add(pred)
+            free[at] = False
+            del lists[row]
+            taken += 1
+            if taken * 2 > len(near.rows):  # half are taken: those left only
+                left = np.flatnonzero(free)
+                near, taken = Nearest(pred_ids[left], preds[left]), 0
+                near.rows = left[near.rows]
+    return out
+
+
+def matched_boxes(boxes: DataFrame, image: str = "image_id") -> DataFrame:
+    """``matched_truth`` of all overlapping boxes of an image, without their pairs.  ``boxes``: image, id, is_pred and
+    the box; rows with a null among them match nothing.  An image's boxes are one group."""
+    kind = boxes.schema[image].dataType.simpleString()
+    sides = ["x_min", "y_min", "x_max", "y_max"]
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        t, p = pdf[~pdf.is_pred], pdf[pdf.is_pred]
+        found = greedy_matches(*(x for side in (t, p) for x in (side.id.to_numpy(np.int64), side[sides].to_numpy(float))))
+        return pd.DataFrame([(key[0], *r) for r in found], columns=[image, "truth", "pred", "iou"])
+
+    rows = boxes.select(image, F.col("id").cast("long").alias("id"), "is_pred", *(F.col(c).cast("double").alias(c) for c in sides)).dropna()
+    return rows.groupBy(image).applyInPandas(run, f"{image} {kind}, truth long, pred long, iou double")
+
+
 def cascade(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """Drops rows whose targets are all settled by earlier rows of their group.  Columns: ordinal,
     targets array<string>, settles array<string>."""

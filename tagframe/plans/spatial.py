@@ -66,10 +66,8 @@ def nms_fold(spark, sf_dir):
 def gt_match_eval(spark, sf_dir):
     """Truth: even vectors; predictions: odd ones; an image is a label."""
     b = boxes(spark, sf_dir)
-    a, p = (side(b.where(f"vec_id % 2 = {i}"), x).withColumn("image_id", F.col(f"{x}_label")) for i, x in enumerate("bt"))
-    keep = [[f"{x}_{c}" for c in ("vec_id", "x_min", "y_min", "x_max", "y_max")] for x in "bt"]
-    pairs = lookups.cell_join(a, p, ["image_id"], 32, *keep).withColumn("iou", geometry.iou(geometry.box("b_"), geometry.box("t_"))).where("iou > 0")
-    found = tracking.matched_truth(pairs.select("image_id", F.col("b_vec_id").alias("truth"), F.col("t_vec_id").alias("pred"), "iou"))
+    both = b.where("vec_id % 2 in (0, 1)").select(F.col("label").alias("image_id"), F.col("vec_id").alias("id"), (F.col("vec_id") % 2 == 1).alias("is_pred"), "x_min", "y_min", "x_max", "y_max")
+    found = tracking.matched_boxes(both)
     n = b.count()
     return metrics.evaluation(found, (n + 1) // 2, n // 2)
 

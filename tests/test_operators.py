@@ -202,3 +202,41 @@ def test_fuzzy_match_query_scores_as_the_default(spark, monkeypatch):
     monkeypatch.setattr(catalog, "padded", lambda pairs, q, e, k=900: seen.append(k) or own(pairs, q, e, k))
     plan.fuzzy_match(spark, "/root/testdata/sf0.001")
     assert seen == [900]
+
+
+def test_matched_boxes_are_the_pairs_matches(spark):
+    """Against the matches over all pairs: random boxes, copies, equal overlaps, one id twice, nulls."""
+    import random
+
+    import numpy as np
+
+    from tagframe.operators import tracking
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        x, y = rng.choice([0, 5, 10, 40, 41.5, 90]), rng.choice([0, 3, 7, 50])
+        rows.append(("a" if i % 3 else "b", i // 2 - (i % 50 == 9), bool(i % 2), float(x), float(y), x + rng.choice([6.0, 8.0, 20.0]), y + rng.choice([6.0, 9.0])))
+    rows += [("c", 1, False, 0.0, 0.0, 9.0, 9.0), ("d", None, True, 0.0, 0.0, 9.0, 9.0), ("d", 2, False, None, 0.0, 9.0, 9.0), (None, 3, False, 0.0, 0.0, 9.0, 9.0), (None, 3, True, 0.0, 0.0, 9.0, 9.0)]
+    expected = []
+    for image in "ab":
+        own = [r for r in rows if r[0] == image]
+        pairs = sorted((-tracking.overlap(t[3:], p[3:]), t[1], p[1]) for t in own if not t[2] for p in own if p[2])
+        truths, preds = set(), set()
+        for iou, t, p in pairs:
+            if iou < 0 and t not in truths and p not in preds:
+                truths.add(t)
+                preds.add(p)
+                expected.append((image, t, p, -iou))
+        of = lambda flag: (np.array([r[1] for r in own if r[2] == flag]), np.array([r[3:] for r in own if r[2] == flag]))  # noqa: E731, B023
+        for most in (1, 3):
+            assert tracking.greedy_matches(*of(False), *of(True), most=most) == [r[1:] for r in expected if r[0] == image]
+    df = spark.createDataFrame(rows, "image_id string, id long, is_pred boolean, x_min double, y_min double, x_max double, y_max double")
+    assert sorted(map(tuple, tracking.matched_boxes(df).collect())) == sorted(expected)
+
+
+def test_gt_match_eval_makes_no_pairs(spark):
+    from tagframe.plans import QUERIES
+
+    plan = QUERIES["gt_match_eval"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Join" not in plan
